@@ -1,0 +1,46 @@
+"""Small, config-sized dimension tables built from the fixed values in :mod:`roadpulse.config`.
+
+They are joined with ``broadcast``: their size is bounded by the configuration
+(tens of rows), never by the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadpulse import config as C
+
+
+def cause_dim(spark: SparkSession) -> DataFrame:
+    """One row per known cause: severity rank, base personnel, equipment list."""
+    causes = sorted(set(C.CAUSE_SEVERITY_RANK) | set(C.MANPOWER_BASE) | set(C.CAUSE_EQUIPMENT))
+    rows = [
+        (
+            c,
+            C.CAUSE_SEVERITY_RANK.get(c),
+            C.MANPOWER_BASE.get(c),
+            C.CAUSE_EQUIPMENT.get(c),
+        )
+        for c in causes
+    ]
+    return spark.createDataFrame(
+        rows, "event_cause string, cause_rank int, manpower_base int, cause_equipment array<string>"
+    )
+
+
+def vehicle_dim(spark: SparkSession) -> DataFrame:
+    rows = list(C.VEHICLE_SEVERITY.items())
+    return spark.createDataFrame(rows, "veh_type string, vehicle_rank int")
+
+
+def diversion_dim(spark: SparkSession) -> DataFrame:
+    rows = [(k, *v) for k, v in C.DIVERSIONS.items()]
+    return spark.createDataFrame(
+        rows, "corridor string, diversion_primary string, diversion_secondary string, diversion_avoid string"
+    )
+
+
+def lookup(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join to a config-sized dimension table, broadcast (bounded by config, not data)."""
+    return df.join(F.broadcast(dim), on=key, how="left")
