@@ -260,7 +260,7 @@ ENCODED_FEATURES = [
     "event_cause_te_road_closure_binary", "corridor_te_road_closure_binary",
     "zone_te_road_closure_binary", "police_station_te_road_closure_binary",
 ]
-HEX_FEATURES = ["h3_event_count"]
+HEX_FEATURES = ["hex_event_count"]
 ALL_FEATURES = (
     TEMPORAL_FEATURES + SPATIAL_FEATURES + PROFILE_FEATURES + HISTORICAL_FEATURES
     + INTERACTION_FEATURES + ENCODED_FEATURES + HEX_FEATURES

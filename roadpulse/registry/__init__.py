@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roadpulse.registry import clean_queries  # noqa: F401  (registers on import)
+from roadpulse.registry import clean_queries, feature_queries  # noqa: F401  (register on import)
 from roadpulse.registry.common import ORACLE, QUERIES
 
 
