@@ -16,14 +16,13 @@ from roadpulse.functions.geo import haversine_km
 from roadpulse.functions.text import strip_all
 from roadpulse.functions.timefns import hours_between, minutes_between
 
-# Extra text layouts tried after the ISO forms that a plain cast accepts.
-TIMESTAMP_FORMATS = [
-    "dd-MM-yyyy HH:mm:ss",
-    "dd-MM-yyyy HH:mm",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy HH:mm",
-    "MM/dd/yyyy HH:mm:ss",
-    "yyyy/MM/dd HH:mm:ss",
+# Non-ISO layouts are rewritten to ISO order before one cast-style parse:
+# "M/D/YYYY ..." and "M-D-YYYY ..." (month first, the default reading of mixed
+# text) and "YYYY/MM/DD ...".  The ISO forms a plain cast accepts (space or T,
+# fraction, Z or ±hh:mm offset) pass through unchanged.
+_LAYOUTS = [
+    (r"^\s*(\d{1,2})[-/](\d{1,2})[-/](\d{4})", "$3-$1-$2"),
+    (r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
 ]
 
 
@@ -31,15 +30,17 @@ def _null_text(c: Column) -> Column:
     return F.when(F.trim(c).isin("NULL", ""), F.lit(None)).otherwise(c)
 
 
-def parse_timestamp(c: Column, formats: list[str] = TIMESTAMP_FORMATS) -> Column:
+def parse_timestamp(c: Column) -> Column:
     """Mixed-format text → UTC instant; unparseable text → null (never an error).
 
     Text without a zone is read as UTC (session zone), text with an offset is
-    converted.  Already-typed timestamps pass through.
+    converted.  One layout rewrite and one parse per value keep the expression
+    small, which matters once the optimizer copies it into pushed-down filters.
     """
-    text = _null_text(c.cast("string"))
-    tries = [F.try_to_timestamp(text)] + [F.try_to_timestamp(text, F.lit(f)) for f in formats]
-    return F.coalesce(*tries)
+    text = c.cast("string")
+    for pattern, repl in _LAYOUTS:
+        text = F.regexp_replace(text, pattern, repl)
+    return F.try_to_timestamp(_null_text(text))
 
 
 def parse_timestamps(df: DataFrame, cols: list[str] = C.TIMESTAMP_COLUMNS) -> DataFrame:
@@ -166,10 +167,13 @@ def clean_incidents(raw: DataFrame, cfg: EngineConfig = DEFAULT, impute_coords:
 
 def quality_summary(clean: DataFrame, approx: bool = False) -> DataFrame:
     """One-row table summary (a single aggregate with partial aggregation)."""
+    from roadpulse.operators.quantiles import exact_quantiles
+
     distinct = F.approx_count_distinct if approx else F.count_distinct
-    median = (
-        F.percentile_approx("resolution_hours", 0.5, 10000) if approx else F.percentile("resolution_hours", 0.5)
-    )
+    if approx:
+        med = clean.agg(F.percentile_approx("resolution_hours", 0.5, 10000).alias("median_resolution_hours"))
+    else:
+        med = exact_quantiles(clean, "resolution_hours", [0.5], names=["median_resolution_hours"])
     return clean.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.min("start_datetime").alias("first_start"),
@@ -180,11 +184,10 @@ def quality_summary(clean: DataFrame, approx: bool = False) -> DataFrame:
         F.avg("priority_binary").alias("high_priority_rate"),
         F.sum("road_closure_binary").cast("bigint").alias("road_closures"),
         F.avg("road_closure_binary").alias("road_closure_rate"),
-        median.alias("median_resolution_hours"),
         F.avg("resolution_hours").alias("mean_resolution_hours"),
         F.sum("has_vehicle").cast("bigint").alias("events_with_vehicle"),
         distinct("corridor").alias("unique_corridors"),
         distinct("junction").alias("unique_junctions"),
         distinct("police_station").alias("unique_police_stations"),
         F.count_if(~F.col("valid_start")).alias("outside_bbox"),
-    )
+    ).crossJoin(F.broadcast(med))

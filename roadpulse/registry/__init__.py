@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from roadpulse.registry import clean_queries, feature_queries  # noqa: F401  (register on import)
+from roadpulse.registry import (  # noqa: F401  (register on import)
+    analytics_queries,
+    clean_queries,
+    feature_queries,
+    plan_queries,
+)
 from roadpulse.registry.common import ORACLE, QUERIES
 
 

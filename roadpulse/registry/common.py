@@ -182,8 +182,47 @@ def with_clean(body: str, *extra_ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
-def load_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_clean(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> DataFrame:
     from roadpulse.operators.clean import clean_incidents
     from roadpulse.sources.incidents import incidents_from_events, read_table
 
-    return clean_incidents(incidents_from_events(read_table(spark, sf_dir, "events")))
+    return clean_incidents(incidents_from_events(read_table(spark, sf_dir, "events"), with_keys=with_keys))
+
+
+def load_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean incidents + local calendar parts + deterministic pseudo-predictions (FIXTURES §6)."""
+    from roadpulse.operators.features import temporal_features
+    from roadpulse.sources.incidents import with_pseudo_predictions
+
+    return with_pseudo_predictions(temporal_features(load_clean(spark, sf_dir, with_keys=True)))
+
+
+CTE_SCORED = """
+t AS (
+  SELECT clean.*,
+    hour(start_local) AS hour, isodow(start_local) - 1 AS day_of_week, month(start_local) AS month,
+    CAST(hour(start_local) IN (8, 9, 10, 17, 18, 19, 20) AS INTEGER) AS is_rush_hour,
+    CAST(isodow(start_local) - 1 >= 5 AS INTEGER) AS is_weekend
+  FROM clean
+),
+sc0 AS (
+  SELECT t.*,
+    least(0.99e0, ((u * 13 + k * 7) % 100) / 100 * (0.4e0 + 0.1e0 * (k % 15))
+                  + CASE WHEN k % 15 = 14 THEN 0.3e0 ELSE 0.0e0 END) AS severity_proba,
+    ((u * 5 + k * 11) % 100) / 100 AS closure_proba,
+    ((u * 5 + k * 11) % 100) > 50 AS closure_needed,
+    ((k * 17 + u) % 300) / 20 AS duration_p50
+  FROM t
+),
+sc AS (
+  SELECT sc0.*,
+    CASE WHEN severity_proba > 0.5 THEN 'High' ELSE 'Low' END AS severity,
+    duration_p50 * (0.2e0 + 0.1e0 * (k % 15)) AS duration_mean,
+    duration_p50 * 0.2e0 AS duration_p10, duration_p50 * 0.5e0 AS duration_p25,
+    duration_p50 * 1.6e0 AS duration_p75, duration_p50 * 2.5e0 AS duration_p90
+  FROM sc0
+)"""
+
+
+def with_scored(body: str, *extra_ctes: str) -> str:
+    return with_clean(body, CTE_SCORED, *extra_ctes)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,3 +54,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="roadpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
+
+
+def materialize(df, name: str = "table"):
+    """Cut lineage at an intermediate that later steps read several times.
+
+    The table is written once as parquet under the shared folder named by
+    ``spark.checkpoint.dir`` (set by the cluster; a scratch folder only when
+    unset, as in tests) and read back: the input is scanned and cleaned once,
+    the optimizer sees a small plan, and a lost executor re-reads the written
+    files instead of recomputing the lineage.  One job, unlike an eager
+    ``checkpoint()`` which computes its input twice unless it is cached.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "roadpulse", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

@@ -87,8 +87,12 @@ DESCRIPTION_CYCLE = ["Slow traffic near junction", "Road closed, barricades plac
 STATUS_CYCLE = ["active", "resolved", "closed", "other"]
 
 
-def incidents_from_events(events: DataFrame) -> DataFrame:
-    """Raw incident records derived row-by-row from ``events`` (a narrow projection, no shuffle)."""
+def incidents_from_events(events: DataFrame, with_keys: bool = False) -> DataFrame:
+    """Raw incident records derived row-by-row from ``events`` (a narrow projection, no shuffle).
+
+    ``with_keys`` also keeps the binding's two generator keys (``_u``, ``_k``)
+    so deterministic pseudo-predictions can be derived without a join.
+    """
     u = F.col("user_id")
     k = F.regexp_extract(F.col("props"), r"([0-9]+)", 1).cast("bigint")
     ts = F.col("ts").cast("timestamp_ntz")
@@ -169,4 +173,39 @@ def incidents_from_events(events: DataFrame) -> DataFrame:
         derived.get(c, F.lit(None).cast(RAW_SCHEMA[c].dataType)).cast(RAW_SCHEMA[c].dataType).alias(c)
         for c in C.RAW_COLUMNS
     ]
+    if with_keys:
+        cols += [u.alias("_u"), k.alias("_k")]
     return base.select(*cols)
+
+
+def with_pseudo_predictions(df: DataFrame) -> DataFrame:
+    """Deterministic stand-in predictions from the binding keys (FIXTURES §6).
+
+    They give the plan, feedback and metric operators exact oracles without a
+    trained model: ``severity_proba``, ``closure_proba``/``closure_needed`` and
+    the duration quantiles ``duration_mean/p10/p25/p50/p75/p90``.
+    """
+    u, k = F.col("_u"), F.col("_k")
+    sev = F.least(
+        F.lit(0.99),
+        ((u * 13 + k * 7) % 100) / F.lit(100) * (F.lit(0.4) + F.lit(0.1) * (k % 15))
+        + F.when(k % 15 == 14, F.lit(0.3)).otherwise(F.lit(0.0)),
+    )
+    p50 = ((k * 17 + u) % 300) / F.lit(20)
+    return df.withColumns(
+        {
+            "severity_proba": sev,
+            "closure_proba": ((u * 5 + k * 11) % 100) / F.lit(100),
+            "closure_needed": ((u * 5 + k * 11) % 100) > 50,
+            "duration_p50": p50,
+        }
+    ).withColumns(
+        {
+            "severity": F.when(F.col("severity_proba") > 0.5, F.lit("High")).otherwise(F.lit("Low")),
+            "duration_mean": F.col("duration_p50") * (F.lit(0.2) + F.lit(0.1) * (k % 15)),
+            "duration_p10": F.col("duration_p50") * F.lit(0.2),
+            "duration_p25": F.col("duration_p50") * F.lit(0.5),
+            "duration_p75": F.col("duration_p50") * F.lit(1.6),
+            "duration_p90": F.col("duration_p50") * F.lit(2.5),
+        }
+    )
