@@ -48,8 +48,12 @@ def py_fixed(x: Column, ndigits: int) -> Column:
 
 def py_round_sql(x: str, ndigits: int = 0) -> str:
     """The same algorithm as SQL text (used by the DuckDB oracle)."""
-    s = repr(float(10 ** ndigits))
-    sp = repr(_SPLIT)
+    def dbl(v: float) -> str:  # a double literal (a plain decimal literal would be DECIMAL in SQL)
+        r = repr(float(v))
+        return r if "e" in r else r + "e0"
+
+    s = dbl(10 ** ndigits)
+    sp = dbl(_SPLIT)
     return f"""(SELECT CASE WHEN xs IS NULL THEN NULL
   WHEN (d > 0.5 OR (d = 0.5 AND err > 0) OR (d = 0.5 AND err = 0 AND (f - 2 * floor(f / 2)) = 1)) THEN (f + 1) / {s}
   ELSE f / {s} END
