@@ -26,10 +26,6 @@ _LAYOUTS = [
 ]
 
 
-def _null_text(c: Column) -> Column:
-    return F.when(F.trim(c).isin("NULL", ""), F.lit(None)).otherwise(c)
-
-
 def parse_timestamp(c: Column) -> Column:
     """Mixed-format text → UTC instant; unparseable text → null (never an error).
 
@@ -38,9 +34,12 @@ def parse_timestamp(c: Column) -> Column:
     small, which matters once the optimizer copies it into pushed-down filters.
     """
     text = c.cast("string")
+    rewritten = text
     for pattern, repl in _LAYOUTS:
-        text = F.regexp_replace(text, pattern, repl)
-    return F.try_to_timestamp(_null_text(text))
+        rewritten = F.regexp_replace(rewritten, pattern, repl)
+    # ISO text (and 'NULL', which fails to parse) is settled by the first parse;
+    # coalesce evaluates the layout rewrite only for the rows that failed it.
+    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(rewritten))
 
 
 def parse_timestamps(df: DataFrame, cols: list[str] = C.TIMESTAMP_COLUMNS) -> DataFrame:
