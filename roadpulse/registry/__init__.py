@@ -6,6 +6,7 @@ from roadpulse.registry import (  # noqa: F401  (register on import)
     analytics_queries,
     clean_queries,
     feature_queries,
+    model_queries,
     plan_queries,
 )
 from roadpulse.registry.common import ORACLE, QUERIES
