@@ -5,6 +5,7 @@ from __future__ import annotations
 from roadpulse.registry import (  # noqa: F401  (register on import)
     analytics_queries,
     clean_queries,
+    cluster_queries,
     feature_queries,
     model_queries,
     plan_queries,
