@@ -9,6 +9,7 @@ from roadpulse.registry import (  # noqa: F401  (register on import)
     feature_queries,
     model_queries,
     plan_queries,
+    stream_queries,
 )
 from roadpulse.registry.common import ORACLE, QUERIES
 
