@@ -7,6 +7,7 @@ from roadpulse.registry import (  # noqa: F401  (register on import)
     clean_queries,
     cluster_queries,
     feature_queries,
+    io_queries,
     model_queries,
     plan_queries,
     stream_queries,
