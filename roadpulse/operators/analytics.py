@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from roadpulse import config as C
 from roadpulse.operators.quantiles import exact_quantiles
+from roadpulse.session import materialize
 
 
 def counts_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -111,19 +112,29 @@ def valid_durations(df: DataFrame) -> DataFrame:
 
 
 def box_stats(df: DataFrame, value: str, group: str, top: int = 8) -> DataFrame:
-    """Quartiles and 1.5·IQR whiskers per group (top groups by count)."""
-    keep = top_values(df, group, top)
-    d = df.join(keep, group, "left_semi")
-    q = exact_quantiles(d, value, [0.25, 0.5, 0.75], group, names=["q1", "median", "q3"])
+    """Quartiles and 1.5·IQR whiskers per group (top groups by count).
+
+    The raw rows are aggregated once to ``(group, value) → count`` (written once);
+    top groups, quartiles, whiskers and outlier counts all come from that table.
+    """
+    counts = materialize(
+        df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+        .groupBy(group, F.col(value).cast("double").alias(value))
+        .agg(F.count(F.lit(1)).alias("_c")),
+        "box-counts",
+    )
+    keep = counts.groupBy(group).agg(F.sum("_c").alias("_n")).orderBy(F.desc("_n"), group).limit(top).select(group)
+    d = counts.join(keep, group, "left_semi")
+    q = exact_quantiles(d, value, [0.25, 0.5, 0.75], group, names=["q1", "median", "q3"], count_col="_c")
     j = d.join(q, group, "inner")
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    v = F.col(value)
+    v, c = F.col(value), F.col("_c")
     return j.groupBy(group, "q1", "median", "q3").agg(
         F.min(F.when(v >= lo_fence, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi_fence, v)).alias("whisker_hi"),
-        F.count_if((v < lo_fence) | (v > hi_fence)).alias("outliers"),
-        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when((v < lo_fence) | (v > hi_fence), c).otherwise(F.lit(0))).alias("outliers"),
+        F.sum(c).alias("n"),
     )
 
 

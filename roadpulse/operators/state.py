@@ -1,12 +1,13 @@
 """Fitted feature state (L1, L5, E1, G3 counts) and its transform, plus the
 point-in-time (L6), leave-one-out (E2) and rare-category (E4) forms.
 
-State is a set of small keyed DataFrames — one aggregate per key serves every
-statistic of that key (frequency, mean resolution, closure/priority rates,
-target-encoding counts), so fitting costs five group-bys instead of sixteen.
-State tables are bounded by the number of distinct keys; they are joined
-without a hint so adaptive execution broadcasts them only when their measured
-size is under the threshold, and shuffles otherwise.
+State is a set of small keyed DataFrames: one grouping-sets aggregate over the
+training rows yields every statistic of every key (frequency, mean resolution,
+closure/priority rates, target-encoding counts) in a single pass, instead of
+sixteen separate group-bys.  State tables are bounded by the number of
+distinct keys; they are joined without a hint so adaptive execution
+broadcasts them only when their measured size is under the threshold, and
+shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from roadpulse.operators.features import (
     temporal_features,
 )
 from roadpulse.operators.lags import LagSpec, add_lookback_counts, lookback_counts_with_history
+from roadpulse.session import materialize
 
 STATE_KEYS = ["event_cause", "corridor", "junction", "police_station", "zone", "hex_id"]
 
@@ -35,19 +37,6 @@ LAG_SPECS = [
 ]
 
 
-def _key_state(df: DataFrame, key: str) -> DataFrame:
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg("resolution_hours").alias("mean_resolution"),
-            F.avg("road_closure_binary").alias("closure_rate"),
-            F.avg("priority_binary").alias("priority_rate"),
-        )
-    )
-
-
 class FeatureModel:
     """fit/transform with stored state; ``transform`` refuses to run unfitted."""
 
@@ -57,14 +46,32 @@ class FeatureModel:
 
     # -- fit -----------------------------------------------------------------
     def fit(self, clean: DataFrame) -> "FeatureModel":
-        base = spatial_features(clean, self.cfg)
-        st = {f"key_{k}": _key_state(base, k) for k in STATE_KEYS}
-        st["global"] = base.agg(
+        """All state in one pass: grouping sets over the six keys plus the global set.
+
+        One scan of the (cleaned) training rows feeds every statistic; the small
+        result is written once (lineage cut), so the later state joins read a
+        few thousand rows instead of re-running the cleaning pipeline per key.
+        """
+        base = spatial_features(clean, self.cfg).select(
+            *STATE_KEYS, "resolution_hours", "road_closure_binary", "priority_binary"
+        )
+        sets = [[F.col(k)] for k in STATE_KEYS] + [[]]
+        agg = base.groupingSets(sets, *STATE_KEYS).agg(
+            F.grouping_id().alias("_gid"),
+            F.count(F.lit(1)).alias("n"),
             F.avg("resolution_hours").alias("mean_resolution"),
-            F.avg("priority_binary").alias("priority_rate"),
             F.avg("road_closure_binary").alias("closure_rate"),
-            F.count(F.lit(1)).alias("n"),
+            F.avg("priority_binary").alias("priority_rate"),
         )
+        table = materialize(agg, "feature-state")
+        full = (1 << len(STATE_KEYS)) - 1
+        st = {}
+        for i, k in enumerate(STATE_KEYS):
+            gid = full ^ (1 << (len(STATE_KEYS) - 1 - i))  # only key k grouped
+            st[f"key_{k}"] = table.where((F.col("_gid") == gid) & F.col(k).isNotNull()).select(
+                k, "n", "mean_resolution", "closure_rate", "priority_rate"
+            )
+        st["global"] = table.where(F.col("_gid") == full).select("mean_resolution", "priority_rate", "closure_rate", "n")
         self.state = st
         return self
 
