@@ -280,12 +280,26 @@ def f2(spark, sf_dir):
     )
 
 
-@register("f3_severity_bias", with_scored("SELECT event_cause, actual_high_rate, predicted_high_rate, bias, CAST(count AS BIGINT) AS count FROM sb", CTE_BIAS))
+@register(
+    "f3_severity_bias",
+    with_scored(
+        f"SELECT event_cause, {r6('actual_high_rate')} AS actual_high_rate, {r6('predicted_high_rate')} AS predicted_high_rate,"
+        f" {r6('bias')} AS bias, CAST(count AS BIGINT) AS count FROM sb",
+        CTE_BIAS,
+    ),
+)
 def f3(spark, sf_dir):
     return FB.severity_bias(load_scored(spark, sf_dir))
 
 
-@register("f4_duration_bias", with_scored("SELECT event_cause, actual_mean_hours, predicted_mean_hours, ratio, CAST(count AS BIGINT) AS count FROM db", CTE_BIAS))
+@register(
+    "f4_duration_bias",
+    with_scored(
+        f"SELECT event_cause, {r6('actual_mean_hours')} AS actual_mean_hours, {r6('predicted_mean_hours')} AS predicted_mean_hours,"
+        f" {r6('ratio')} AS ratio, CAST(count AS BIGINT) AS count FROM db",
+        CTE_BIAS,
+    ),
+)
 def f4(spark, sf_dir):
     return FB.duration_bias(load_scored(spark, sf_dir))
 
@@ -326,7 +340,7 @@ def f7(spark, sf_dir):
 
 @register(
     "f7_top_severity_bias",
-    with_scored("SELECT event_cause, bias FROM sb ORDER BY abs(bias) DESC, event_cause LIMIT 5", CTE_BIAS),
+    with_scored(f"SELECT event_cause, {r6('bias')} AS bias FROM sb ORDER BY abs(bias) DESC, event_cause LIMIT 5", CTE_BIAS),
 )
 def f7b(spark, sf_dir):
     return FB.top_bias(FB.severity_bias(load_scored(spark, sf_dir)), 5).select("event_cause", "bias")

@@ -1,6 +1,6 @@
 """Run registered queries and their DuckDB oracles side by side (row count, columns, values).
 
-Usage: python tools/check_oracle.py [sf_dir] [name-substring ...]
+Usage: python tools/check_oracle.py [sf_dir] [name-substring ...] [-excluded-substring ...]
 """
 
 from __future__ import annotations
@@ -62,7 +62,8 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    pats = sys.argv[2:]
+    pats = [a for a in sys.argv[2:] if not a.startswith("-")]
+    skip = [a[1:] for a in sys.argv[2:] if a.startswith("-")]
     spark = local_session()
     con = duckdb.connect()
     for t in TABLES:
@@ -70,7 +71,7 @@ def main():
     qs, orc = queries(), oracle_sql()
     fails = 0
     for name, fn in qs.items():
-        if pats and not any(p in name for p in pats):
+        if (pats and not any(p in name for p in pats)) or any(x in name for x in skip):
             continue
         try:
             msg = compare(spark, con, name, fn, orc.get(name), sf_dir)
