@@ -11,9 +11,11 @@ counting duplicates) computed as Spark joins:
 3. candidates are an equi-join on (spatial cell of side eps, slice) after each
    point is replicated to its 9 neighbouring cells × neighbouring slices — only
    points that can be within eps meet, never all pairs of a group;
-4. core points (weighted neighbour count ≥ min_samples) are linked by core–core
-   edges; connected components by min-label propagation with pointer jumping,
-   the label table materialised every round (lineage cut, executor-loss safe);
+4. core points (weighted neighbour count ≥ min_samples) of one slice inside
+   one spatial cell of side eps/√2 are pairwise within eps, so each such clique
+   becomes one graph node; connected components of the (deduplicated) node
+   graph by min-label propagation with pointer jumping, the label table
+   materialised every round (lineage cut, executor-loss safe);
 5. border points join the smallest adjacent cluster; clusters below
    ``min_cluster_size`` events become noise (−1).
 
@@ -115,11 +117,24 @@ def dbscan(df: DataFrame, cfg: EngineConfig = DEFAULT, max_rounds: int = 64) ->
     edges = probe.join(target, ["cx", "cy", "hour", "rank"], "inner").where(d2 <= eps * eps).select("p", "q", "w")
     edges = materialize(edges, "dbscan-edges")
 
-    # 4. core points and core-core components
+    # 4. core points; core points of one slice inside one spatial cell of side eps/sqrt(2)
+    #    are pairwise within eps (a clique), so each such group is one graph node
     weight = edges.groupBy("p").agg(F.sum("w").alias("nw"))
     core = weight.where(F.col("nw") >= min_samples).select(F.col("p").alias("c"))
-    cc = edges.join(core.withColumnRenamed("c", "p"), "p", "left_semi").join(core.withColumnRenamed("c", "q"), "q", "left_semi")
-    cc = materialize(cc.select("p", "q"), "dbscan-core-edges")
+    fine = eps / math.sqrt(2.0)
+    node_of = (
+        wp.join(core.withColumnRenamed("c", "pid"), "pid", "left_semi")
+        .withColumns({"fx": F.floor(F.col("z_lat") / fine), "fy": F.floor(F.col("z_lng") / fine)})
+    )
+    node_id = node_of.groupBy("hour", "rank", "fx", "fy").agg(F.min("pid").alias("node"))
+    node_of = materialize(node_of.join(node_id, ["hour", "rank", "fx", "fy"]).select("pid", "node"), "dbscan-nodes")
+    cc = (
+        edges.join(node_of.select(F.col("pid").alias("p"), F.col("node").alias("np")), "p")
+        .join(node_of.select(F.col("pid").alias("q"), F.col("node").alias("nq")), "q")
+        .select(F.col("np").alias("p"), F.col("nq").alias("q"))
+        .distinct()
+    )
+    cc = materialize(cc, "dbscan-node-edges")
     labels = materialize(cc.groupBy("p").agg(F.min("q").alias("l")), "dbscan-labels")
     for _ in range(max_rounds):
         # one hop: smallest label among neighbours
@@ -133,6 +148,8 @@ def dbscan(df: DataFrame, cfg: EngineConfig = DEFAULT, max_rounds: int = 64) ->
         labels = new
         if changed == 0:
             break
+    # node labels back to core points
+    labels = node_of.join(labels.withColumnRenamed("p", "node"), "node").select(F.col("pid").alias("p"), "l")
 
     # 5. border points: smallest label of an adjacent core point
     border = (
