@@ -167,7 +167,7 @@ def lookback_counts_with_history(scored: DataFrame, history: DataFrame, specs: l
 
 
 def naive_lookback_counts(df: DataFrame, spec: LagSpec, id_col: str = "id", ts_col: str = "start_datetime") -> DataFrame:
-    """Reference implementation for tests: an unbucketed window (one partition per key)."""
+    """Naive form for tests: an unbucketed window (one partition per key)."""
     sec = epoch_seconds(F.col(ts_col))
     key = F.coalesce(F.col(spec.key).cast("string"), F.lit(NULL_KEY)) if spec.key else F.lit("")
     d = df.select(F.col(id_col).alias(id_col), sec.alias("_sec"), epoch_micros(F.col(ts_col)).alias("_us"), key.alias("_key"))
