@@ -22,16 +22,26 @@ from roadpulse.operators.quantiles import exact_quantiles
 RUSH_HOURS = C.RUSH_HOURS_MORNING + C.RUSH_HOURS_EVENING
 
 
-def cause_stats(df: DataFrame) -> DataFrame:
-    """Per cause severity and closure rate; mean/median/p10/p90 of positive durations."""
+def cause_stats(df: DataFrame, approx: bool = False) -> DataFrame:
+    """Per cause severity and closure rate; mean/median/p10/p90 of positive durations.
+
+    ``approx=True`` uses ``percentile_approx`` (one pass, bounded memory per group)
+    instead of the exact distributed quantiles.
+    """
     rates = df.where(F.col("event_cause").isNotNull()).groupBy("event_cause").agg(
         F.avg("priority_binary").alias("severity_rate"),
         F.avg("road_closure_binary").alias("closure_rate"),
     )
     valid = df.where(F.col("resolution_hours").isNotNull() & (F.col("resolution_hours") > 0) & F.col("event_cause").isNotNull())
     means = valid.groupBy("event_cause").agg(F.avg("resolution_hours").alias("avg_duration"))
-    qs = exact_quantiles(valid, "resolution_hours", [0.5, 0.1, 0.9], "event_cause",
-                         names=["median_duration", "p10_duration", "p90_duration"])
+    if approx:
+        pa = F.percentile_approx("resolution_hours", [0.5, 0.1, 0.9], 10000)
+        qs = valid.groupBy("event_cause").agg(pa.alias("_q")).select(
+            "event_cause", *[F.col("_q")[i].alias(n) for i, n in enumerate(["median_duration", "p10_duration", "p90_duration"])]
+        )
+    else:
+        qs = exact_quantiles(valid, "resolution_hours", [0.5, 0.1, 0.9], "event_cause",
+                             names=["median_duration", "p10_duration", "p90_duration"])
     return rates.join(means, "event_cause", "left").join(qs, "event_cause", "left")
 
 

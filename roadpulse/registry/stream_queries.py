@@ -75,6 +75,7 @@ def st3(spark, sf_dir):
 
 
 def _joined(spark, sf_dir):
+    S.use_rocksdb_state(spark)
     preds = with_pseudo_predictions(S.incident_stream(S.events_stream(spark, sf_dir), watermark=None, with_keys=True)).select(
         F.col("id").alias("pid"), F.col("start_datetime").alias("predicted_at"), "event_cause", "severity_proba", "duration_mean"
     )

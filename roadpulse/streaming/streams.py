@@ -75,6 +75,18 @@ def scored_plan_stream(clean: DataFrame, state=None) -> DataFrame:
     return recommend(with_pseudo_predictions(d))
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep large join state (30 days of predictions) off the JVM heap.
+
+    Applies to queries started afterwards with a new checkpoint; an existing
+    checkpoint keeps the provider it was created with.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def prediction_outcome_join(predictions: DataFrame, outcomes: DataFrame, horizon_hours: int = 720) -> DataFrame:
     """ST4: each prediction with its outcome closed within ``horizon_hours`` (interval join, bounded state)."""
     p = predictions.withWatermark("predicted_at", f"{horizon_hours} hours").alias("p")
