@@ -28,3 +28,9 @@ def test_scan_pushdown_and_pruning(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)]" in p
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in p
+
+
+def test_no_cartesian_product(spark):
+    """Joins are equi-joins or against one-row broadcast aggregates; no pair-emitting product."""
+    for name in ["x1_feature_table", "d8_spillover", "a9_box_stats_top_causes", "d3_d5_estimates", "v2_severity_auc"]:
+        assert "CartesianProduct" not in _plan(queries()[name](spark, SF_SMALL)), name
