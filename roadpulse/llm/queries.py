@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from roadpulse.llm.bpe import op5_bpe_encode_decode
+from roadpulse.llm.lines import OP8_SQL, op8_line_dedup
 from roadpulse.llm.quality import op9_quality_repetition
 from roadpulse.llm.simhash import op3_simhash_near_dedup
 
-QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op9_quality_repetition)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op5_bpe_encode_decode, op8_line_dedup, op9_quality_repetition)}
+ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL}
 
 
 def queries():
