@@ -18,17 +18,15 @@ an empty result.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 import unicodedata
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +34,8 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import fresh, materialize, prepare, table
 
 TOKENIZER = "word_bpe_49k.json"
-CHUNK_WORDS = 4_000_000  # word positions of a chunk; a longer document is a chunk of its own
+CHUNK_WORDS = 5_000_000  # word positions of a chunk; a longer document is a chunk of its own
+GROUP_WORDS = 500_000  # about so many of them are joined to their ids at a time
 
 # Characters that the regex module and the tokenizer treat alike, one by one and in sequence.
 SAFE = (
@@ -90,12 +89,13 @@ class Splitter:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit values as compressed byte planes."""
-    return zlib.compress(np.ascontiguousarray(values.astype("<u4").view("u1").reshape(-1, 4).T).tobytes(), 1)
+    """Unsigned 32-bit values as compressed byte planes, which suits word numbers and sizes."""
+    planes = np.ascontiguousarray(values.astype("<u4").view("u1").reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(3).compress(planes.tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), "u1").reshape(4, -1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
@@ -106,76 +106,106 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
 
 
+class _Chunk:
+    """Consecutive documents and the numbers of their distinct words."""
+
+    def __init__(self):
+        self.names: dict[str, int] = {}
+        self.keys: list = []
+        self.docs: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, key, words: list[str]) -> None:
+        names = self.names
+        self.docs.append(np.fromiter((names.setdefault(w, len(names)) for w in words), np.uint32, len(words)))
+        self.keys.append(key)
+        self.held += len(words)
+
+    def rows(self, chunk: int, buckets: int, schema: pa.Schema) -> pa.RecordBatch:
+        """Rows of numbered words for groups of documents, of the words' order, and of each bucket's distinct words."""
+        # Frequent words get small numbers, which pack well.
+        order = np.argsort(-np.bincount(np.concatenate(self.docs), minlength=len(self.names)), kind="stable")
+        number = np.empty(len(order), np.uint32)
+        number[order] = np.arange(len(order), dtype=np.uint32)
+        words: dict[int, list[str]] = {}
+        for w in sorted(self.names):
+            words.setdefault(zlib.crc32(w.encode()) % buckets, []).append(w)  # alike in every chunk
+        words = dict(sorted(words.items()))
+        ranks = pack(np.array([number[self.names[w]] for own in words.values() for w in own], np.uint32))
+        ends = np.cumsum([len(d) for d in self.docs])
+        groups = np.split(np.arange(len(ends)), np.flatnonzero(np.diff(ends // GROUP_WORDS)) + 1)
+        zip_ = zstandard.ZstdCompressor(9).compress
+        rows = [(chunk, None, None, None, None, ranks)]
+        for own in groups:
+            held = [self.docs[i] for i in own]
+            rows.append((chunk, None, [self.keys[i] for i in own], pack(np.array([len(d) for d in held])), None,
+                         pack(number[np.concatenate(held)])))
+        rows += [(chunk, bucket, None, None, zip_(" ".join(own).encode()), None) for bucket, own in words.items()]
+        return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
 def _split(spec: str, id_type: pa.DataType, buckets: int, chunk_words: int):
-    """Rows of documents (key, numbers of their words) and of chunks' distinct words by bucket."""
+    """Rows of chunks: their documents' words by number, and their distinct words by bucket."""
     schema = pa.schema([
-        ("chunk", pa.int64()), ("key", id_type), ("bucket", pa.int32()),
-        ("words", pa.list_(pa.string())), ("numbers", pa.binary()),
+        ("chunk", pa.int64()), ("bucket", pa.int32()), ("keys", pa.list_(id_type)),
+        ("sizes", pa.binary()), ("words", pa.binary()), ("numbers", pa.binary()),
     ])
 
     def run(batches):
         split = Splitter(spec).words
-        chunk = TaskContext.get().partitionId() << 32
-        names: dict[str, int] = {}
-        keys, docs, held = [], [], 0
-
-        def flush():
-            flat = np.concatenate([*docs, np.zeros(0, np.uint32)])
-            # Frequent words get small numbers, which pack well.
-            order = np.argsort(-np.bincount(flat, minlength=len(names)), kind="stable")
-            number = np.empty(len(names), np.uint32)
-            number[order] = np.arange(len(names), dtype=np.uint32)
-            # The word's digest deals it out, alike in every chunk.
-            owner = np.array([zlib.crc32(w.encode()) % buckets for w in names], np.int64)
-            words = np.array(list(names), object)
-            by = np.argsort(owner, kind="stable")
-            parts = np.split(by, np.flatnonzero(np.diff(owner[by])) + 1) if len(by) else []
-            n, m = len(docs), len(parts)
-            yield pa.record_batch([
-                pa.array([chunk] * (n + m), pa.int64()),
-                pa.array(keys + [None] * m, id_type),
-                pa.array([None] * n + [int(owner[p[0]]) for p in parts], pa.int32()),
-                pa.array([None] * n + [list(words[p]) for p in parts], pa.list_(pa.string())),
-                pa.array([pack(number[d]) for d in docs] + [pack(number[p]) for p in parts], pa.binary()),
-            ], schema=schema)
-
+        at, chunk = TaskContext.get().partitionId() << 32, _Chunk()
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = split(text)
-                if docs and held + len(found) > chunk_words:
-                    yield from flush()
-                    chunk, held = chunk + 1, 0
-                    names, keys, docs = {}, [], []
-                name = names.setdefault
-                docs.append(np.fromiter((name(w, len(names)) for w in found), np.uint32, len(found)))
-                keys.append(key)
-                held += len(found)
-        if docs:
-            yield from flush()
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = split(text.as_py())
+                if chunk.docs and chunk.held + len(words) > chunk_words:
+                    yield chunk.rows(at, buckets, schema)
+                    at, chunk = at + 1, _Chunk()
+                chunk.add(key, words)
+        if chunk.docs:
+            yield chunk.rows(at, buckets, schema)
 
     return run
 
 
+def _encode_words(tokenizer, words: list[str], last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words end to end, and how many each has. ``last``: whether an id ends a word."""
+    texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+    flat = np.array([i for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], np.uint32)
+    sizes = np.diff(np.r_[-1, np.flatnonzero(last[flat])])
+    if len(sizes) != len(words):  # some word's last piece is no word end: one by one
+        ids = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+        flat, sizes = np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+    return flat, sizes
+
+
 def _encode_bucket(spec: str):
     """One bucket of the distinct-word table: every distinct word is encoded once."""
 
+    loaded: list = []  # once for all buckets of a task
+
     def run(entries: pa.Table) -> pa.Table:
-        tokenizer = Splitter(spec).tokenizer
-        lists = entries["words"].combine_chunks()
-        coded = pc.dictionary_encode(lists.flatten())
-        if isinstance(coded, pa.ChunkedArray):
-            coded = coded.combine_chunks()
-        ids = [e.ids for e in tokenizer.encode_batch(coded.dictionary.to_pylist(), add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-        starts, at = np.cumsum(sizes) - sizes, coded.indices.to_numpy(zero_copy_only=False)
-        edges = np.cumsum(np.r_[0, lists.value_lengths().to_numpy(zero_copy_only=False)])
-        rows = [at[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        if not loaded:
+            tokenizer = Splitter(spec).tokenizer
+            vocab = tokenizer.get_vocab(with_added_tokens=True)
+            suffix = json.loads(spec)["model"]["end_of_word_suffix"]
+            added = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+            last = np.zeros(max(vocab.values()) + 1, bool)
+            last[[i for piece, i in vocab.items() if piece.endswith(suffix) or piece in added]] = True
+            loaded.extend((tokenizer, last))
+        tokenizer, last = loaded
+        unzip, zip_ = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(9).compress
+        place: dict[str, int] = {}
+        rows = [
+            np.array([place.setdefault(w, len(place)) for w in unzip(x).decode().split(" ")])
+            for x in entries["words"].to_pylist()
+        ]
+        flat, sizes = _encode_words(tokenizer, list(place), last)
+        starts = np.cumsum(sizes) - sizes
         return pa.table({
             "chunk": entries["chunk"],
-            "numbers": entries["numbers"],
+            "bucket": entries["bucket"],
             "sizes": pa.array([pack(sizes[r]) for r in rows], pa.binary()),
-            "ids": pa.array([pack(gather(flat, starts[r], sizes[r])) for r in rows], pa.binary()),
+            "ids": pa.array([zip_(gather(flat, starts[r], sizes[r]).astype("<u4").tobytes()) for r in rows], pa.binary()),
         })
 
     return run
@@ -185,26 +215,35 @@ def _join_back(id_type: pa.DataType):
     """A chunk's documents and encoded words: ids in the order of the word positions."""
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        number, sizes, ids = (
-            np.concatenate([*map(unpack, words[c].to_pylist()), np.zeros(0, np.uint32)]) for c in ("numbers", "sizes", "ids")
-        )
-        own_sizes = np.zeros(len(number), np.int64)
-        own_starts = np.zeros(len(number), np.int64)
+        words = words.sort_by("bucket")
+        unzip = zstandard.ZstdDecompressor().decompress
+        sizes = np.concatenate([*map(unpack, words["sizes"].to_pylist()), np.zeros(0, np.uint32)])
+        ids = np.concatenate([np.frombuffer(unzip(x), "<u4").astype(np.int32) for x in words["ids"].to_pylist()] or [np.zeros(0, np.int32)])
+        rows = docs.to_pylist()
+        number = next(unpack(r["numbers"]) for r in rows if r["keys"] is None)
+        own_sizes, own_starts = np.zeros(len(number), np.int32), np.zeros(len(number), np.int32)
         own_sizes[number] = sizes
         own_starts[number] = np.cumsum(sizes, dtype=np.int64) - sizes
-        rows = [unpack(d) for d in docs["numbers"].to_pylist()]
-        counts = np.array([own_sizes[r].sum() for r in rows], np.int64)
-        offsets = np.r_[0, np.cumsum(counts)]
-        flat = np.concatenate([*(gather(ids, own_starts[r], own_sizes[r]) for r in rows), np.zeros(0, np.uint32)])
-        out = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(flat.astype(np.int32)))
-        return pa.table({"key": docs["key"].cast(id_type), "ids": out.cast(pa.list_(pa.int32()))})
+        out = []
+        for r in rows:
+            if r["keys"] is not None:
+                at = unpack(r["numbers"])
+                upto = np.r_[0, np.cumsum(own_sizes[at], dtype=np.int64)]
+                offsets = upto[np.r_[0, np.cumsum(unpack(r["sizes"]), dtype=np.int64)]]
+                found = gather(ids, own_starts[at], own_sizes[at])
+                held = pa.LargeListArray.from_arrays(offsets, found).cast(pa.list_(pa.int32()))
+                raw = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(4 * offsets), pa.py_buffer(found.astype("<i4"))]
+                ).cast(pa.binary())
+                out.append(pa.record_batch([pa.array(r["keys"], id_type), held, raw], names=["key", "ids", "ids_le"]))
+        return pa.Table.from_batches(out)
 
     return run
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
            chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Rows (id, ids): the token ids of each row's whole text, one row per row of ``docs``."""
+    """One row per row of ``docs``: its id, the token ids of its whole text, and these as little-endian 32-bit integers (ids_le)."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = prepare(docs.sparkSession)
@@ -215,18 +254,18 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     split = materialize(
         docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(
             _split(spec, id_type, buckets, chunk_words),
-            f"chunk long, key {name}, bucket int, words array<string>, numbers binary",
+            f"chunk long, bucket int, keys array<{name}>, sizes binary, words binary, numbers binary",
         ),
         "bpe-words",
     )
     encoded = (
-        split.where("bucket is not null").select("chunk", "bucket", "words", "numbers")
-        .groupBy("bucket").applyInArrow(_encode_bucket(spec), "chunk long, numbers binary, sizes binary, ids binary")
+        split.where("bucket is not null").select("chunk", "bucket", "words")
+        .groupBy("bucket").applyInArrow(_encode_bucket(spec), "chunk long, bucket int, sizes binary, ids binary")
     )
-    numbered = split.where("bucket is null").select("chunk", "key", "numbers")
+    numbered = split.where("bucket is null").select("chunk", "keys", "sizes", "numbers")
     return (
         numbered.groupBy("chunk").cogroup(encoded.groupBy("chunk"))
-        .applyInArrow(_join_back(id_type), f"key {name}, ids array<int>")
+        .applyInArrow(_join_back(id_type), f"key {name}, ids array<int>, ids_le binary")
         .withColumnRenamed("key", "id")
     )
 
@@ -257,17 +296,11 @@ def decode(encoded: DataFrame, pieces: DataFrame, ids_col: str = "ids", out_col:
     return encoded.withColumn(name, held.scalar()).withColumn(out_col, F.when(known, text)).drop(name)
 
 
-@F.pandas_udf("string")
-def ids_digest(ids: pd.Series) -> pd.Series:
-    """SHA-256 of the ids as little-endian unsigned 32-bit integers."""
-    return pd.Series([hashlib.sha256(np.asarray(i, "<u4").tobytes()).hexdigest() for i in ids])
-
-
 def digests(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
     return decode(encoded, pieces).select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
-        ids_digest("ids").alias("ids_sha256"),
+        F.sha2("ids_le", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
 
