@@ -54,7 +54,8 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _names(lines: DataFrame, min_words: int) -> tuple[DataFrame, list[int]]:
     """Repeated lines with the names of the runs of 1, 2, 4, ... lines from each on, and those scales."""
-    often = lines.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    # Written, so that the join below is between two plain exchanges and a hot line's rows can be split.
+    often = materialize(lines.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "line-repeats")
     repeated = lines.join(often, "name", "left_semi")
     in_doc = Window.partitionBy("id", "tkey").orderBy("at")
     rows = (

@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from roadpulse.llm.bpe import op5_bpe_encode_decode
 from roadpulse.llm.lines import OP8_SQL, op8_line_dedup
+from roadpulse.llm.pii import op10_pii_bootstrap
 from roadpulse.llm.quality import op9_quality_repetition
+from roadpulse.llm.secret_scan import op2_secret_scan
 from roadpulse.llm.simhash import op3_simhash_near_dedup
+from roadpulse.llm.warc import op7_warc_round_trip
 
-QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op5_bpe_encode_decode, op8_line_dedup, op9_quality_repetition)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_secret_scan,
+        op3_simhash_near_dedup,
+        op5_bpe_encode_decode,
+        op7_warc_round_trip,
+        op8_line_dedup,
+        op9_quality_repetition,
+        op10_pii_bootstrap,
+    )
+}
 ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL}
 
 
