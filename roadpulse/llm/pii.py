@@ -27,7 +27,8 @@ KINDS = ["email", "ip", "card", "phone", "context"]
 ROUNDS = 3
 MIN_SEEDS = 5  # distinct seeds that a pattern must have been seen with
 SHRINK = 2.0  # added to a pattern's instances, so that rare patterns score low
-MIN_CONFIDENCE = 0.8  # of a pattern that may discover, and of an instance it discovers
+MIN_CONFIDENCE = 0.4  # share of a pattern's instances believed, from which on it may discover
+MIN_SCORE = 0.7  # of an instance that is discovered: one sure pattern, or two that agree
 MIN_DIGITS = 6  # of a candidate
 
 # Runs start where no character of their class stands before, or right after the last match
@@ -134,11 +135,11 @@ def found_column(text: Column) -> Column:
 def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Instances (value, seed, score) of a graph of distinct edges (pattern, value, seed), scored in rounds.
 
-    Only patterns with MIN_SEEDS seeds are kept, the others cannot reach confidence; every
+    Only patterns with MIN_SEEDS seeds are kept; every
     round is two aggregates and two joins, written to the shared folder.
     """
     seeds = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count("*").alias("n"))
-    good = materialize(seeds.where((F.col("seeds") >= MIN_SEEDS) & (F.col("seeds") > (F.col("n") + SHRINK) * (MIN_CONFIDENCE / 4))), "pii-patterns")
+    good = materialize(seeds.where(F.col("seeds") >= MIN_SEEDS), "pii-patterns")
     graph = materialize(edges.join(good.select("pattern"), "pattern"), "pii-graph")
     scores = graph.select("value", "seed").distinct().withColumn("score", F.col("seed").cast("double"))
     for _ in range(rounds):
@@ -169,7 +170,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     seen = found.select("row", F.explode("seen").alias("s")).select("row", "s.*")
     edges = seen.select(F.explode("patterns").alias("pattern"), "value", "seed").groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
     scores = score_graph(edges)
-    new = scores.where(~F.col("seed") & (F.col("score") >= MIN_CONFIDENCE)).select("value")
+    new = scores.where(~F.col("seed") & (F.col("score") >= MIN_SCORE)).select("value")
     more = (
         seen.where(~F.col("seed")).join(new, "value")
         .groupBy("row").agg(F.collect_list(F.struct("start", "end", F.lit(KINDS.index("context")).alias("kind"), "value")).alias("more"))
