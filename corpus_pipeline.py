@@ -1,25 +1,54 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and reread as the next one's input."""
+"""Corpus pipeline: stages over documents, each written as Parquet and reread as the next one's input.
+
+Each stage calls one operator of ``roadpulse.llm`` on all that its predecessor kept; all
+but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm.common import materialize, table
+from roadpulse.llm.bpe import digests, encode, piece_table
+from roadpulse.llm.common import materialize, prepare, table
+from roadpulse.llm.decontaminate import drop_contaminated
+from roadpulse.llm.lines import drop_repeated_lines
 from roadpulse.llm.quality import apply_quality_rules
 from roadpulse.llm.simhash import drop_near_duplicates
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the repetition rules."""
     return apply_quality_rules(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of repeated line runs; those left without a word go."""
+    return drop_repeated_lines(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
+    """One document of each near-duplicate group, the one with the smallest id."""
     return drop_near_duplicates(docs)
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text, one row per document kept."""
+    prepare(spark)
+    return digests(encode(docs), piece_table(spark))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("bpe", bpe),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

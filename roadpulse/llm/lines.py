@@ -106,9 +106,10 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             F.struct(F.col("id").isNull().alias("no_id"), "id", "tkey", "start").alias("place"),
         )
     )
-    # An interval of positions that share the run: the first one stays.
-    first = named.groupBy("run").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = named.join(first, "run").where(F.col("place") > F.col("first"))
+    # An interval of positions that share the run: the first one stays.  (Both sides written: a hot run can be split.)
+    named = materialize(named, "line-runs")
+    first = named.groupBy("run").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = named.join(materialize(first, "line-firsts"), "run").where(F.col("place") > F.col("first"))
     return later.select("id", "tkey", F.explode(F.sequence("start", F.col("start") + F.col("m") - 1)).alias("at")).distinct()
 
 

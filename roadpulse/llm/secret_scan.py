@@ -148,8 +148,11 @@ def labelled_samples(docs: DataFrame, values: DataFrame, id_col: str = "doc_id",
     Bounded by SAMPLE_DOCS and SAMPLE_SECRETS; rows are taken in order of a digest.
     """
     spark = docs.sparkSession
-    some = docs.orderBy(F.xxhash64(id_col, text_col), id_col).limit(SAMPLE_DOCS)
-    plain = F.regexp_replace(F.regexp_replace(F.col(text_col), ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
+    # The digests are drawn first, so that only the drawn texts are moved, each once.
+    keyed = docs.select(F.xxhash64(id_col, text_col).alias("draw"), F.col(text_col).alias("text"))
+    drawn_docs = keyed.select("draw").distinct().orderBy("draw").limit(SAMPLE_DOCS)
+    some = keyed.join(F.broadcast(drawn_docs), "draw", "left_semi").groupBy("draw").agg(F.min("text").alias("text"))
+    plain = F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
     words = F.regexp_extract_all(plain, F.lit("[A-Za-z0-9+/_=-]{2,}"), F.lit(0))
     drawn = F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256)))
     parts = [
