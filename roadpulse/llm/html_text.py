@@ -198,6 +198,10 @@ LABELLED = [
     [('<nav><a href="/">Home</a></nav>', 0), ("<article><p>Brief words here.</p></article>", 1)],
     [("<article><p>One.</p>", 1), ('<p><a href="/f">Full text of the plan</a></p></article>', 1)],
     [('<div><a href="/">Home</a></div>', 0), ("<h1>Bridge to be closed</h1>", 1), (f"<p>{L}</p>", 1), (f"<p>{T}</p>", 1)],
+    [(f"<article><p>{S}</p>", 1), ("<p>Yes.</p></article>", 1)],
+    [(f"<main><p>{L}</p>", 1), ("<p>Done now.</p></main>", 1)],
+    [("<article><h1>Bridge news today</h1></article>", 1), ('<nav><a href="/">Home</a></nav>', 0)],
+    [("<article><p>Two lanes.</p></article>", 1), ('<div><a href="/n">Next</a></div>', 0)],
     [(f"<p>{L}</p>", 1), ("<h2>Costs</h2>", 1), (f"<p>{L}</p>", 1), (f"<p>{T}</p>", 1), (f"<p>{S}</p>", 1), ("<div>Page 2</div>", 0)],
 ]
 
