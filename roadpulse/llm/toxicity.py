@@ -61,7 +61,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         labels.where("toxic is not null").groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").alias("toxic"))
         .where("id is not null").orderBy(F.xxhash64("id"), "id").limit(most)
     )
-    rows = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("words")).join(F.broadcast(ids), "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
+    rows = texts.withColumn("words", words(F.col("text")))  # of the sample's texts only
     return rows.select(
         "id", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)).alias("fold"), "words",
         *[((F.col("toxic") == 1) & F.exists("words", lambda w: w.rlike(f"^({'|'.join(own)})"))).cast("double").alias(k) for k, own in kinds.items()],
