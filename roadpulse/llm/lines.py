@@ -45,11 +45,12 @@ def _digest(text):
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, tkey, at, name, words): the lines that hold a word, numbered from 0 in each document."""
-    wordy = F.filter(F.split(F.col(text_col), "\n", -1), lambda x: x.rlike(WORD))
-    held = docs.select(F.col(id_col).alias("id"), _digest(F.col(text_col)).alias("tkey"), F.posexplode(wordy).alias("at", "text"))
-    words = F.size(F.filter(F.split("text", SPACES), lambda w: w != ""))
-    return held.select("id", "tkey", "at", _digest(F.col("text")).alias("name"), words.alias("words"))
+    """Rows (id, tkey, at, line, name, words): the lines that hold a word, numbered from 0 in each document (at) and its text (line)."""
+    numbered = F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("text")))
+    wordy = F.filter(numbered, lambda x: x["text"].rlike(WORD))
+    held = docs.select(F.col(id_col).alias("id"), _digest(F.col(text_col)).alias("tkey"), F.posexplode(wordy).alias("at", "x"))
+    words = F.size(F.filter(F.split("x.text", SPACES), lambda w: w != ""))
+    return held.select("id", "tkey", "at", "x.line", _digest(F.col("x.text")).alias("name"), words.alias("words"))
 
 
 def _names(lines: DataFrame, min_words: int) -> tuple[DataFrame, list[int]]:
@@ -61,7 +62,7 @@ def _names(lines: DataFrame, min_words: int) -> tuple[DataFrame, list[int]]:
     rows = (
         repeated.withColumn("stretch", F.col("at") - F.dense_rank().over(in_doc))
         .dropDuplicates(["id", "tkey", "stretch", "at"])  # rows that repeat an id and text
-        .select("id", "tkey", "stretch", "at", "words", F.col("name").alias("n1"))
+        .select("id", "tkey", "stretch", "at", "line", "words", F.col("name").alias("n1"))
     )
     along = Window.partitionBy("id", "tkey", "stretch").orderBy("at")
     scales = [1]
@@ -74,14 +75,14 @@ def _names(lines: DataFrame, min_words: int) -> tuple[DataFrame, list[int]]:
     rows = rows.withColumn("ahead", F.collect_list("words").over(along.rowsBetween(0, min_words - 1)))
     rows = rows.withColumn("behind", F.reverse(F.collect_list("words").over(along.rowsBetween(1 - min_words, 0))))
     names = rows.select(
-        "id", "tkey", "stretch", "at", *[f"n{k}" for k in scales],
+        "id", "tkey", "stretch", "at", "line", *[f"n{k}" for k in scales],
         _shortest("ahead", min_words).alias("m_ahead"), _shortest("behind", min_words).alias("m_behind"),
     )
     return names, scales
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """Rows (id, tkey, at) of the lines to delete: those in a later copy of a run of ``min_words`` words."""
+    """Rows (id, tkey, line) of the lines to delete: those in a later copy of a run of ``min_words`` words."""
     prepare(docs.sparkSession)
     names, scales = _names(materialize(line_table(docs, id_col, text_col), "lines"), min_words)
     names = materialize(names, "line-names")
@@ -110,7 +111,9 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = materialize(named, "line-runs")
     first = named.groupBy("run").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = named.join(materialize(first, "line-firsts"), "run").where(F.col("place") > F.col("first"))
-    return later.select("id", "tkey", F.explode(F.sequence("start", F.col("start") + F.col("m") - 1)).alias("at")).distinct()
+    covered = later.select("id", "tkey", F.explode(F.sequence("start", F.col("start") + F.col("m") - 1)).alias("at")).distinct().alias("c")
+    same = F.col("c.id").eqNullSafe(F.col("b.id")) & (F.col("c.tkey") == F.col("b.tkey")) & (F.col("c.at") == F.col("b.at"))
+    return covered.join(b, same).select("b.id", "b.tkey", "b.line")
 
 
 def _shortest(sizes: str, min_words: int):
@@ -126,21 +129,25 @@ def _shortest(sizes: str, min_words: int):
     return reached
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the text less its deleted lines, and last an array of their numbers (from 0, all lines counted)."""
-    runs = repeated_runs(docs, id_col, text_col, min_words).groupBy("id", "tkey").agg(F.sort_array(F.collect_list("at")).alias("at"))
-    key, at, parts, wordy, gone = (fresh(docs, s) for s in ("key", "at", "parts", "wordy", "deleted"))
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                drop_emptied: bool = False) -> DataFrame:
+    """``docs`` with the text less its deleted lines, and last an array of their numbers (from 0, all lines counted).
+
+    ``drop_emptied`` leaves out the rows that lost every line with a word.
+    """
+    runs = repeated_runs(docs, id_col, text_col, min_words).groupBy("id", "tkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    key, gone, parts = (fresh(docs, s) for s in ("key", "deleted", "parts"))
     d, r = docs.withColumn(key, _digest(F.col(text_col))).alias("d"), runs.alias("r")
     held = d.join(r, F.col(f"d.{id_col}").eqNullSafe(F.col("r.id")) & (F.col(f"d.{key}") == F.col("r.tkey")), "left").select(
-        *[F.col(f"d.`{c}`") for c in docs.columns], F.col("r.at").alias(at)
+        *[F.col(f"d.`{c}`") for c in docs.columns], F.col("r.lines").alias(gone)
     )
-    i_from_0 = F.sequence(F.lit(0), F.size(parts) - 1)
-    held = held.withColumn(parts, F.when(F.col(at).isNotNull(), F.split(F.col(text_col), "\n", -1)))
-    held = held.withColumn(wordy, F.filter(i_from_0, lambda i: F.element_at(F.col(parts), i + 1).rlike(WORD)))
-    held = held.withColumn(gone, F.transform(F.col(at), lambda k: F.element_at(F.col(wordy), k + 1)))
-    stay = F.array_except(i_from_0, F.col(gone))
+    lines = F.split(F.col(text_col), "\n", -1)
+    if drop_emptied:  # told by columns of the join, so that the filter repeats none of the rewriting below
+        held = held.where(F.col(gone).isNull() | (F.size(gone) < F.size(F.filter(lines, lambda x: x.rlike(WORD)))))
+    held = held.withColumn(parts, F.when(F.col(gone).isNotNull(), lines))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))
     rest = F.array_join(F.transform(stay, lambda i: F.element_at(F.col(parts), i + 1)), "\n")
-    text = F.when(F.col(at).isNull(), F.col(text_col)).otherwise(rest)
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(rest)
     return held.select(
         *[(text if c == text_col else F.col(f"`{c}`")).alias(c) for c in docs.columns],
         F.coalesce(F.col(gone), F.array().cast("array<int>")).alias(gone),
@@ -148,10 +155,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the texts less later copies; documents of which nothing but blank is left are dropped."""
-    found = dedup_lines(docs, id_col, text_col, min_words)
-    gone = found.columns[-1]
-    return found.where((F.size(gone) == 0) | F.col(text_col).rlike(WORD)).select(docs.columns)
+    """``docs`` with the texts less later copies; documents that lost every line with a word are dropped."""
+    return dedup_lines(docs, id_col, text_col, min_words, drop_emptied=True).select(docs.columns)
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
