@@ -75,7 +75,7 @@ def scale(points: DataFrame, stats: DataFrame, spatial_weight: float = 1.0) -> D
     return j.select("id", "hour", "rank", *cols)
 
 
-def dbscan(df: DataFrame, cfg: EngineConfig = DEFAULT, max_rounds: int = 64) -> DataFrame:
+def dbscan(df: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
     """K2: ``(id, cluster_id)`` with ``-1`` for noise."""
     eps, min_samples, min_size = cfg.dbscan_eps, cfg.dbscan_min_samples, cfg.min_cluster_size
     pts = cluster_inputs(df)
@@ -136,7 +136,7 @@ def dbscan(df: DataFrame, cfg: EngineConfig = DEFAULT, max_rounds: int = 64) ->
     )
     cc = materialize(cc, "dbscan-node-edges")
     labels = materialize(cc.groupBy("p").agg(F.min("q").alias("l")), "dbscan-labels")
-    for _ in range(max_rounds):
+    while True:  # until no label changes
         # one hop: smallest label among neighbours
         hop = cc.join(labels.withColumnRenamed("p", "q").withColumnRenamed("l", "lq"), "q").groupBy("p").agg(F.min("lq").alias("l1"))
         # pointer jumping: follow the label's own label

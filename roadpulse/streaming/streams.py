@@ -29,10 +29,11 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None
     """File source over the events table (explicit schema, as streaming requires)."""
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    # A glob matches one file as well as a folder of files; a plain path may only be a folder.
+    return r.parquet(f"{sf_dir}/events.parque[t]")
 
 
 def incident_stream(events: DataFrame, watermark: str | None = "2 hours", with_keys: bool = False) -> DataFrame:
