@@ -2,13 +2,12 @@
 
 Everything a run can tune lives in :class:`EngineConfig`.  The lookup tables
 below are fixed values that must equal the behaviour we reproduce; they are
-kept here, plainly, in their natural order, and turned into small dimension
-DataFrames by :mod:`roadpulse.functions.dims`.
+kept here, plainly, in their natural order, and become literals of column expressions.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must match the reproduced behaviour; do not edit)
@@ -283,15 +282,13 @@ class EngineConfig:
     timezone: str = LOCAL_TIMEZONE
     split_date: str = "2024-03-01"          # local date; train < split <= test
     te_smoothing: int = TARGET_ENCODING_SMOOTHING
-    rare_min_count: int = 5
     lag_bucket_seconds: int = 3600          # time slice that bounds a lag partition
     hex_size_km: float = 0.46               # planar hex edge, ~H3 resolution 8
     fit_scope: str = "train"                # "train" (leakage-free) or "all" (parity)
     dbscan_eps: float = 0.5
     dbscan_min_samples: int = 5
-    min_cluster_size: int = 15
+    min_cluster_size: int = 1               # above 1, smaller clusters become noise
     spatial_weight: float = 1.0
-    lag_windows_hours: list = field(default_factory=lambda: list(LAG_WINDOWS_HOURS))
 
 
 DEFAULT = EngineConfig()

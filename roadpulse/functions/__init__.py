@@ -1 +1 @@
-"""Column-level building blocks (pure `Column -> Column` expressions and small dimension tables)."""
+"""Column-level building blocks (pure `Column -> Column` expressions)."""

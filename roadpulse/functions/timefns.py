@@ -25,8 +25,3 @@ def hours_between(later: Column, earlier: Column) -> Column:
 
 def minutes_between(later: Column, earlier: Column) -> Column:
     return (epoch_micros(later) - epoch_micros(earlier)) / F.lit(60_000_000.0)
-
-
-def ts_text(ts: Column) -> Column:
-    """Stable text form of an instant (UTC, microseconds) for reports and comparisons."""
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")

@@ -16,22 +16,27 @@ from roadpulse.functions.geo import haversine_km
 from roadpulse.functions.text import strip_all
 from roadpulse.functions.timefns import hours_between, minutes_between
 
-# Non-ISO layouts are rewritten to ISO order before one cast-style parse:
-# "M/D/YYYY ..." and "M-D-YYYY ..." (month first, the default reading of mixed
-# text) and "YYYY/MM/DD ...".  The ISO forms a plain cast accepts (space or T,
+# Non-ISO layouts are rewritten to ISO order before one cast-style parse: a first number
+# above 12 is a day, else mixed text is read month first; "YYYY/MM/DD ..." and the compact
+# "YYYYMMDD", alone or before a time.  The ISO forms a plain cast accepts (space or T,
 # fraction, Z or ±hh:mm offset) pass through unchanged.
+_DATE = (
+    r"^\s*(?:(?:(1[3-9]|2\d|3[01])[-/.](\d{1,2})|(\d{1,2})[-/.](\d{1,2}))[-/.](\d{4})"
+    r"|(\d{4})/(\d{1,2})/(\d{1,2})|(\d{4})(\d{2})(\d{2})(?=\D|$|\d{6}$))"
+)
 _LAYOUTS = [
-    (r"^\s*(\d{1,2})[-/](\d{1,2})[-/](\d{4})", "$3-$1-$2"),
-    (r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
+    (_DATE, "$5$6$9-$2$3$7$10-$1$4$8$11"),  # groups of the layouts not matched are empty
+    (r"(?<=-\d\d)T?(\d{2})(\d{2})(\d{2})$", " $1:$2:$3"),
 ]
+# What is left: month names, and times of day with AM or PM.
+_NAMED = "[yyyy-M-d][MMM d, yyyy][MMMM d, yyyy][MMM d yyyy][d MMM yyyy][d MMMM yyyy][d-MMM-yyyy][ h:mm:ss a][ h:mm a][ H:mm:ss][ H:mm]"
 
 
 def parse_timestamp(c: Column) -> Column:
     """Mixed-format text → UTC instant; unparseable text → null (never an error).
 
     Text without a zone is read as UTC (session zone), text with an offset is
-    converted.  One layout rewrite and one parse per value keep the expression
-    small, which matters once the optimizer copies it into pushed-down filters.
+    converted.  Later parses are reached only by rows that failed the earlier ones.
     """
     text = c.cast("string")
     rewritten = text
@@ -39,7 +44,9 @@ def parse_timestamp(c: Column) -> Column:
         rewritten = F.regexp_replace(rewritten, pattern, repl)
     # ISO text (and 'NULL', which fails to parse) is settled by the first parse;
     # coalesce evaluates the layout rewrite only for the rows that failed it.
-    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(rewritten))
+    return F.coalesce(
+        F.try_to_timestamp(text), F.try_to_timestamp(rewritten), F.try_to_timestamp(F.nullif(F.trim(rewritten), F.lit("")), F.lit(_NAMED))
+    )
 
 
 def parse_timestamps(df: DataFrame, cols: list[str] = C.TIMESTAMP_COLUMNS) -> DataFrame:

@@ -26,11 +26,8 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from roadpulse import config as C
 from roadpulse.config import DEFAULT, EngineConfig
@@ -42,13 +39,13 @@ _AXES = ["lat", "lng", "hsin", "hcos", "rank"]
 
 
 def cluster_inputs(df: DataFrame) -> DataFrame:
-    """K1 raw features: latitude, longitude, hour sin/cos, cause rank; nulls become 0."""
+    """K1 raw features: latitude, longitude, hour sin/cos, cause rank; nulls and what is no finite place become 0."""
     hour = F.col("hour")
     rank = F.coalesce(F.element_at(literal_map(C.CAUSE_SEVERITY_RANK), F.col("event_cause")), F.lit(C.CAUSE_SEVERITY_DEFAULT))
     return df.select(
         "id",
-        F.coalesce(F.col("latitude"), F.lit(0.0)).alias("lat"),
-        F.coalesce(F.col("longitude"), F.lit(0.0)).alias("lng"),
+        F.when(F.abs("latitude") <= 360, F.col("latitude")).otherwise(0.0).alias("lat"),
+        F.when(F.abs("longitude") <= 360, F.col("longitude")).otherwise(0.0).alias("lng"),
         F.coalesce(hour, F.lit(0)).alias("hour"),
         F.coalesce(F.sin(F.lit(2 * math.pi) * hour / 24), F.lit(0.0)).alias("hsin"),
         F.coalesce(F.cos(F.lit(2 * math.pi) * hour / 24), F.lit(0.0)).alias("hcos"),
@@ -199,40 +196,42 @@ def high_risk(stats: DataFrame, threshold: float = 0.7) -> DataFrame:
     return stats.where(F.col("high_priority_rate") >= threshold).orderBy(F.desc("high_priority_rate"), "cluster_id")
 
 
-MAX_CENTROIDS = 100_000
+NEAR_AXES = ["lat", "lng", "hsin", "hcos"]  # the rank axis of all centres is the same, so it ranks none of them
+FIRST_SIDE = 0.25
 
 
 def assign_nearest(df: DataFrame, stats: DataFrame, scaler: DataFrame, mid_rank: float = 5.0) -> DataFrame:
     """K6: nearest cluster centre in the scaled space (centres use a mid cause rank), −1 without clusters.
 
-    The centres are model parameters: their number is checked against
-    ``MAX_CENTROIDS`` before they are shipped to the tasks, where a vectorised
-    nearest-centre search runs per Arrow batch (no join, no pair table).
+    A grid search with growing cells: a row meets the centres of its own and the
+    neighbouring cells in an equi-join.  A centre at most one cell side away is the
+    nearest of all; rows without one go on with cells of twice the side, until all are
+    settled.  Nothing is collected and the number of centres has no limit.
+    Equal distances go to the smallest cluster id.
     """
-    n = stats.count()
-    if n > MAX_CENTROIDS:
-        raise ValueError(f"{n} centroids exceed the broadcast bound {MAX_CENTROIDS}")
     cen = stats.select(
         "cluster_id", F.col("center_lat").alias("lat"), F.col("center_lng").alias("lng"),
         F.sin(F.lit(2 * math.pi) * F.col("avg_hour") / 24).alias("hsin"),
         F.cos(F.lit(2 * math.pi) * F.col("avg_hour") / 24).alias("hcos"), F.lit(mid_rank).alias("rank"),
-    ).withColumn("id", F.col("cluster_id")).withColumn("hour", F.lit(0))
-    sc_c = scale(cen, scaler).orderBy("id").collect()
-    ids = [r["id"] for r in sc_c]
-    mat = np.array([[r[f"z_{a}"] for a in _AXES] for r in sc_c], dtype="float64").reshape(len(sc_c), len(_AXES))
-    pts = scale(cluster_inputs(df), scaler)
-
-    def nearest(batches):
-        for pdf in batches:
-            if len(ids) == 0:
-                yield pd.DataFrame({"id": pdf["id"], "cluster_id": NOISE})
-                continue
-            x = pdf[[f"z_{a}" for a in _AXES]].to_numpy(dtype="float64")
-            best = np.empty(len(x), dtype="int64")
-            for s in range(0, len(x), 1024):  # bounded memory: 1024 rows x centres at a time
-                d = ((x[s:s + 1024, None, :] - mat[None, :, :]) ** 2).sum(axis=2)
-                best[s:s + 1024] = d.argmin(axis=1)
-            yield pd.DataFrame({"id": pdf["id"], "cluster_id": [ids[i] for i in best]})
-
-    schema = T.StructType([T.StructField("id", df.schema["id"].dataType), T.StructField("cluster_id", T.StringType())])
-    return pts.select("id", *[f"z_{a}" for a in _AXES]).mapInPandas(nearest, schema)
+    ).fillna(0.0).withColumn("id", F.col("cluster_id")).withColumn("hour", F.lit(0))
+    cen = materialize(scale(cen, scaler).select(F.col("id").alias("cluster_id"), *[F.col(f"z_{a}").alias(f"c_{a}") for a in NEAR_AXES]), "centres")
+    open_ = materialize(scale(cluster_inputs(df), scaler).select("id", *[f"z_{a}" for a in NEAR_AXES]), "nearest-open")
+    if not cen.limit(1).count():
+        return open_.select("id", F.lit(NOISE).alias("cluster_id"))
+    settled, side = None, FIRST_SIDE
+    while open_.limit(1).count():
+        around = cen
+        for a in NEAR_AXES:
+            here = F.floor(F.col(f"c_{a}") / F.lit(side)).cast("bigint")
+            around = around.withColumn(f"g_{a}", F.explode(F.array(here - 1, here, here + 1)))
+        cells = open_.withColumns({f"g_{a}": F.floor(F.col(f"z_{a}") / F.lit(side)).cast("bigint") for a in NEAR_AXES})
+        d2 = sum((F.col(f"z_{a}") - F.col(f"c_{a}")) ** 2 for a in NEAR_AXES)
+        best = (
+            cells.join(around, [f"g_{a}" for a in NEAR_AXES]).withColumn("d2", d2).where(F.col("d2") <= side * side)
+            .groupBy("id").agg(F.min(F.struct("d2", "cluster_id")).alias("b")).select("id", "b.cluster_id")
+        )
+        found = materialize(best, "nearest-found")
+        settled = found if settled is None else settled.unionByName(found)
+        open_ = materialize(open_.join(found, "id", "left_anti"), "nearest-open")
+        side *= 2
+    return settled if settled is not None else open_.select("id", F.lit(NOISE).alias("cluster_id"))

@@ -3,8 +3,9 @@ batch of incidents, corridor defaults, representative coordinates and spillover.
 
 Statistics tables have one row per cause / corridor and are left-joined without
 a hint (adaptive execution broadcasts them when their measured size allows).
-The spillover search is an equi-join on 15 km grid cells — candidates are the
-corridor centroids of the nine neighbouring cells, never a cross product.
+The spillover search is an equi-join on 15 km grid cells, their width fitted to the
+latitude — candidates are the corridor centroids of the neighbouring cells, never a
+cross product, and none is missed at any place on the globe.
 """
 
 from __future__ import annotations
@@ -167,17 +168,24 @@ def corridor_centroids(df: DataFrame) -> DataFrame:
 _KM_PER_DEG = math.pi * C.EARTH_RADIUS_KM / 180.0
 
 
-def _cell_sizes(max_km: float) -> tuple[float, float]:
-    """Cell edges (deg) at least ``max_km`` long on both axes anywhere in the configured box,
-    so a point's 3x3 cell neighbourhood holds every centroid within ``max_km``."""
-    lat_deg = max_km / _KM_PER_DEG
-    widest = max(abs(C.BBOX["min_lat"]), abs(C.BBOX["max_lat"]))
-    lng_deg = max_km / (_KM_PER_DEG * math.cos(math.radians(widest)))
-    return lat_deg * 1.001, lng_deg * 1.001
+def _band(lat: Column, max_km: float) -> Column:
+    """Latitude band, a little higher than ``max_km``."""
+    return F.floor(lat / F.lit(max_km / _KM_PER_DEG * 1.001)).cast("bigint")
 
 
-def _cell(c: Column, size: float) -> Column:
-    return F.floor(c / F.lit(size)).cast("bigint")
+def _band_cells(band: Column, max_km: float) -> Column:
+    """How many equal cells go around a band: each at least ``max_km`` wide at the largest latitude
+    of the band and its two neighbours, and one cell where a pole is that near."""
+    height = max_km / _KM_PER_DEG * 1.001
+    widest = F.least(F.lit(90.0), F.greatest(F.abs((band - 1) * F.lit(height)), F.abs((band + 2) * F.lit(height))))
+    reach = F.lit(math.sin(max_km / (2 * C.EARTH_RADIUS_KM))) / F.greatest(F.cos(F.radians(widest)), F.lit(1e-9))
+    width = F.degrees(2 * F.asin(F.least(F.lit(1.0), reach))) * F.lit(1.001)
+    return F.greatest(F.lit(1), F.floor(F.lit(360.0) / width)).cast("bigint")
+
+
+def _cell(lng: Column, cells: Column) -> Column:
+    """Cell of a longitude, counted around the globe."""
+    return F.pmod(F.floor(F.pmod(lng, F.lit(360.0)) / (F.lit(360.0) / cells)).cast("bigint"), cells)
 
 
 def spillover(incidents: DataFrame, centroids: DataFrame, top_n: int = 5, max_km: float = 15.0, min_delay: float = 3.0) -> DataFrame:
@@ -185,18 +193,16 @@ def spillover(incidents: DataFrame, centroids: DataFrame, top_n: int = 5, max_km
 
     ``incidents``: ``id, corridor, latitude, longitude, severity_proba, duration_p50``.
     """
-    lat_sz, lng_sz = _cell_sizes(max_km)
-    cen = centroids.select(
+    around = centroids.select(
         F.col("corridor").alias("spill_corridor"), "c_lat", "c_lng",
-        F.explode(
-            F.array(*[F.struct((_cell(F.col("c_lat"), lat_sz) + dy).alias("cy"), (_cell(F.col("c_lng"), lng_sz) + dx).alias("cx"))
-                      for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-        ).alias("cell"),
-    ).select("spill_corridor", "c_lat", "c_lng", "cell.cy", "cell.cx")
+        F.explode(F.array(*[_band(F.col("c_lat"), max_km) + dy for dy in (-1, 0, 1)])).alias("cy"),
+    ).withColumn("cells", _band_cells(F.col("cy"), max_km))
+    # Distinct: the cells of a band that has fewer than three coincide.
+    near = F.array_distinct(F.array(*[F.pmod(_cell(F.col("c_lng"), F.col("cells")) + dx, F.col("cells")) for dx in (-1, 0, 1)]))
+    cen = around.select("spill_corridor", "c_lat", "c_lng", "cy", F.explode(near).alias("cx"))
     inc = incidents.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
-        "id", "corridor", "latitude", "longitude", "severity_proba", "duration_p50",
-        _cell(F.col("latitude"), lat_sz).alias("cy"), _cell(F.col("longitude"), lng_sz).alias("cx"),
-    )
+        "id", "corridor", "latitude", "longitude", "severity_proba", "duration_p50", _band(F.col("latitude"), max_km).alias("cy"),
+    ).withColumn("cx", _cell(F.col("longitude"), _band_cells(F.col("cy"), max_km)))
     pairs = inc.join(cen, on=["cy", "cx"], how="inner").where(F.col("spill_corridor") != F.coalesce(F.col("corridor"), F.lit("")))
     dist = haversine_km(F.col("latitude"), F.col("longitude"), F.col("c_lat"), F.col("c_lng"))
     pairs = pairs.withColumn("distance_km", dist).withColumn(

@@ -6,8 +6,6 @@ combined map-side) or a join keyed by event id; nothing is collected.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,9 +168,3 @@ def factor_presentation(factors: DataFrame) -> DataFrame:
             "impact": F.concat(F.format_string("%+.0f", py_round((f - 1) * 100, 0)), F.lit("% adjustment")),
         }
     )
-
-
-def save_report(tables: dict[str, DataFrame], path: str) -> None:
-    """One JSON folder per report table (read back with an explicit schema)."""
-    for name, t in tables.items():
-        t.coalesce(1).write.mode("overwrite").json(os.path.join(path, name))

@@ -85,15 +85,13 @@ class FeatureModel:
     def transform(self, clean: DataFrame, history: DataFrame | None = None) -> DataFrame:
         if self.state is None:
             raise RuntimeError("FeatureModel must be fitted before transform")
-        df = temporal_features(clean, self.cfg)
-        df = spatial_features(df, self.cfg)
-        df = profile_features(df)
-        df = self._join_state(df)
+        # Look-backs first: they read the clean rows several times, and would repeat the joins of the state.
         if history is None:
-            df = add_lookback_counts(df, LAG_SPECS, bucket_seconds=self.cfg.lag_bucket_seconds)
+            df = add_lookback_counts(clean, LAG_SPECS, bucket_seconds=self.cfg.lag_bucket_seconds)
         else:
-            df = lookback_counts_with_history(df, history, LAG_SPECS, bucket_seconds=self.cfg.lag_bucket_seconds)
-        return interaction_features(df)
+            df = lookback_counts_with_history(clean, history, LAG_SPECS, bucket_seconds=self.cfg.lag_bucket_seconds)
+        df = profile_features(spatial_features(temporal_features(df, self.cfg), self.cfg))
+        return interaction_features(self._join_state(df))
 
     def _join_state(self, df: DataFrame) -> DataFrame:
         st = self.state

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from roadpulse.operators import analytics as A
 from roadpulse.operators import estimate as D
-from roadpulse.operators.estimate import _cell_sizes
 from roadpulse.functions.rounding import py_round_sql as prs
 from roadpulse.registry.common import i64, load_scored, r6, register, with_scored
 
@@ -362,9 +361,6 @@ def d7(spark, sf_dir):
     return D.representative_coords(load_scored(spark, sf_dir))
 
 
-_LATSZ, _LNGSZ = _cell_sizes(15.0)
-
-
 def _spill_sql() -> str:
     from roadpulse.registry.common import hav
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roadpulse import config as C
 from roadpulse.config import DEFAULT
 from roadpulse.functions.geo import hex_scales
-from roadpulse.operators.features import split_condition, spatial_features
+from roadpulse.operators.features import profile_features, spatial_features, split_condition, temporal_features
 from roadpulse.operators.lags import LagSpec, add_lookback_counts, lookback_counts_with_history
 from roadpulse.operators.state import (
     LAG_SPECS,
@@ -180,33 +180,40 @@ def feature_sql(cols: list[str], where: str = "") -> str:
     return with_clean(f"SELECT id, {sql_cols(cols)} FROM featx {where}", CTE_FEATURES)
 
 
-def feature_query(name: str, cols: list[str]):
+def feature_query(name: str, cols: list[str], build=None):
+    """``build`` makes the features from clean rows alone; without it they need the fitted state."""
+
     @register(name, feature_sql(cols))
     def q(spark, sf_dir):
-        return load_features(spark, sf_dir).select("id", *cols)
+        rows = build(load_clean(spark, sf_dir)) if build else load_features(spark, sf_dir)
+        return rows.select("id", *cols)
 
     return q
 
 
-feature_query("t1_calendar_parts", ["hour", "minute", "day_of_week", "day_of_month", "month", "week_of_year", "is_weekend"])
-feature_query("t2_rush_night_flags", ["is_morning_rush", "is_evening_rush", "is_rush_hour", "is_night"])
-feature_query("t3_cyclical_encoding", ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos"])
-feature_query("t4_time_period", ["time_period"])
-feature_query("g1_haversine_extent", ["event_extent_km"])
-feature_query("g2_distance_to_center", ["dist_to_center_km"])
+def lookbacks(name: str):
+    return lambda clean: add_lookback_counts(clean, [s for s in LAG_SPECS if s.name == name])
+
+
+feature_query("t1_calendar_parts", ["hour", "minute", "day_of_week", "day_of_month", "month", "week_of_year", "is_weekend"], temporal_features)
+feature_query("t2_rush_night_flags", ["is_morning_rush", "is_evening_rush", "is_rush_hour", "is_night"], temporal_features)
+feature_query("t3_cyclical_encoding", ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos"], temporal_features)
+feature_query("t4_time_period", ["time_period"], temporal_features)
+feature_query("g1_haversine_extent", ["event_extent_km"], lambda clean: clean)
+feature_query("g2_distance_to_center", ["dist_to_center_km"], spatial_features)
 feature_query("g3_hex_event_count", ["hex_id", "hex_event_count"])
-feature_query("g4_lat_lng_grid", ["lat_grid", "lng_grid"])
-feature_query("g5_major_corridor", ["is_major_corridor"])
-feature_query("p1_cause_severity_rank", ["cause_severity_rank"])
-feature_query("p2_cause_groups", ["is_planned_cause", "is_infrastructure_cause", "is_vehicle_cause", "is_nature_cause"])
-feature_query("p3_vehicle_severity", ["vehicle_severity"])
-feature_query("p4_description_flags", list(C.DESC_PATTERNS))
-feature_query("p5_description_word_count", ["desc_word_count"])
+feature_query("g4_lat_lng_grid", ["lat_grid", "lng_grid"], spatial_features)
+feature_query("g5_major_corridor", ["is_major_corridor"], spatial_features)
+feature_query("p1_cause_severity_rank", ["cause_severity_rank"], profile_features)
+feature_query("p2_cause_groups", ["is_planned_cause", "is_infrastructure_cause", "is_vehicle_cause", "is_nature_cause"], profile_features)
+feature_query("p3_vehicle_severity", ["vehicle_severity"], profile_features)
+feature_query("p4_description_flags", list(C.DESC_PATTERNS), profile_features)
+feature_query("p5_description_word_count", ["desc_word_count"], profile_features)
 feature_query("l1_key_frequency", ["corridor_event_frequency", "junction_event_frequency", "police_station_event_frequency"])
-feature_query("l2_rolling_corridor_24h", ["events_same_corridor_24h"])
-feature_query("l2_rolling_zone_7d", ["events_same_zone_7d"])
-feature_query("l2_rolling_station_24h", ["events_same_ps_24h"])
-feature_query("l3_rolling_global_6h", ["total_events_last_6h"])
+feature_query("l2_rolling_corridor_24h", ["events_same_corridor_24h"], lookbacks("events_same_corridor_24h"))
+feature_query("l2_rolling_zone_7d", ["events_same_zone_7d"], lookbacks("events_same_zone_7d"))
+feature_query("l2_rolling_station_24h", ["events_same_ps_24h"], lookbacks("events_same_ps_24h"))
+feature_query("l3_rolling_global_6h", ["total_events_last_6h"], lookbacks("total_events_last_6h"))
 feature_query(
     "l5_historical_means",
     ["cause_avg_resolution_hours", "corridor_avg_resolution_hours", "cause_historical_closure_rate",

@@ -53,11 +53,23 @@ def st2s(spark, sf_dir):
                                keep_latest_by=["window_start", "window_end", "corridor"])
 
 
-@register("st2_session_bursts")
+@register(
+    "st2_session_bursts",
+    with_clean(
+        f"""SELECT {ts_txt('min(start_datetime)')} AS window_start, {ts_txt('max(start_datetime) + INTERVAL 30 MINUTE')} AS window_end, corridor,
+  CAST(count(*) AS BIGINT) AS events
+FROM (SELECT *, sum(opens) OVER (PARTITION BY corridor ORDER BY start_datetime ROWS UNBOUNDED PRECEDING) AS session
+      FROM (SELECT corridor, start_datetime, CASE WHEN start_datetime - lag(start_datetime) OVER (PARTITION BY corridor ORDER BY start_datetime)
+                   <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM clean))
+GROUP BY corridor, session"""
+    ),
+)
 def st2b(spark, sf_dir):
-    """Bursts: session windows closing after 30 min without an incident on the corridor."""
+    """Bursts: session windows closing after 30 min without an incident on the corridor; at the end all are closed."""
     clean = S.incident_stream(S.events_stream(spark, sf_dir))
-    return S.run_available_now(S.corridor_pressure(clean, "session"), "st2b", mode="append")
+    base = S.sink_dir(spark, "st2b")
+    closed = S.run_available_now(S.corridor_pressure(clean, "session"), "st2b", base=base)
+    return closed.unionByName(S.open_sessions(spark, base))
 
 
 @register(
@@ -75,7 +87,6 @@ def st3(spark, sf_dir):
 
 
 def _joined(spark, sf_dir):
-    S.use_rocksdb_state(spark)
     preds = with_pseudo_predictions(S.incident_stream(S.events_stream(spark, sf_dir), watermark=None, with_keys=True)).select(
         F.col("id").alias("pid"), F.col("start_datetime").alias("predicted_at"), "event_cause", "severity_proba", "duration_mean"
     )
@@ -85,7 +96,8 @@ def _joined(spark, sf_dir):
     j = S.prediction_outcome_join(preds, outs).select(
         "pid", "predicted_at", "closed_at", "event_cause", "severity_proba", "duration_mean", "resolution_hours", "priority_binary"
     )
-    return S.run_available_now(j, "st4")
+    with S.rocksdb_state(spark):
+        return S.run_available_now(j, "st4")
 
 
 _ST4 = """SELECT * FROM sc WHERE closed_datetime_combined IS NOT NULL

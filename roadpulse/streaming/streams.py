@@ -4,9 +4,9 @@ The batch operators are plain projections, so the same functions clean and
 score a stream.  Windows use event time with a watermark; the prediction ⋈
 outcome join is a stream-stream interval join with watermarks on both sides
 (bounded state: an outcome older than 720 h after its prediction can no longer
-match).  Every query writes to a parquet sink with a checkpoint location under
-the shared checkpoint folder, so a restarted or re-planned query resumes
-exactly once.  ``run_available_now`` drains the input and stops (the oracle /
+match).  Every query writes to a parquet sink with a checkpoint location; given
+the same ``base`` folder again, it goes on where it stopped and takes no input
+twice.  ``run_available_now`` drains the input and stops (the oracle /
 batch-equivalence mode).
 """
 
@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,24 +70,36 @@ def corridor_pressure(clean: DataFrame, kind: str = "tumbling", watermark: str |
     )
 
 
-def scored_plan_stream(clean: DataFrame, state=None) -> DataFrame:
-    """ST3: stream-static scoring: row features, fitted state tables (static side), plans."""
+def scored_plan_stream(clean: DataFrame, state=None, score: Callable[[DataFrame], DataFrame] = with_pseudo_predictions) -> DataFrame:
+    """ST3: stream-static scoring: row features, fitted state tables (static side), predictions, plans.
+
+    ``score`` adds the prediction columns row by row; the fixture's predictions by default.
+    """
     d = profile_features(spatial_features(temporal_features(clean)))
     if state is not None:
         d = state._join_state(d)
-    return recommend(with_pseudo_predictions(d))
+    return recommend(score(d))
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep large join state (30 days of predictions) off the JVM heap.
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started within keep their state (30 days of predictions) off the JVM heap; later ones do not change.
 
-    Applies to queries started afterwards with a new checkpoint; an existing
-    checkpoint keeps the provider it was created with.
+    Applies to new checkpoints; an existing one keeps the provider it was created with.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
 
 
 def prediction_outcome_join(predictions: DataFrame, outcomes: DataFrame, horizon_hours: int = 720) -> DataFrame:
@@ -100,25 +114,29 @@ def prediction_outcome_join(predictions: DataFrame, outcomes: DataFrame, horizon
     return p.join(o, cond, "inner")
 
 
-def _sink_dir(spark: SparkSession, name: str) -> str:
+def sink_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "roadpulse", "streams", f"{name}-{uuid.uuid4().hex}")
 
 
-def run_available_now(df: DataFrame, name: str, mode: str = "append", keep_latest_by: list[str] | None = None) -> DataFrame:
+def run_available_now(df: DataFrame, name: str, mode: str = "append", keep_latest_by: list[str] | None = None,
+                      base: str | None = None) -> DataFrame:
     """Drain the stream into a parquet sink and return the sink as a batch table.
 
+    ``base`` is the folder of the sink and its checkpoint, a new one by default; a later run
+    with the same folder takes only the input that came since.
     ``mode='update'`` (aggregations) appends every micro-batch's updated groups
     through ``foreachBatch``; the final value of a group is its last update, so
     the read-back keeps the row with the largest batch id per ``keep_latest_by``.
     """
     spark = df.sparkSession
-    base = _sink_dir(spark, name)
+    base = base or sink_dir(spark, name)
     data, ckpt = os.path.join(base, "data"), os.path.join(base, "_checkpoint")
     if mode == "append":
         q = df.writeStream.format("parquet").option("path", data).option("checkpointLocation", ckpt).outputMode("append")
     else:
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(data)
+            # A folder per batch, so that one run again after a failure replaces its rows.
+            batch.write.mode("overwrite").parquet(f"{data}/_batch={batch_id}")
 
         q = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt).outputMode(mode)
     q.trigger(availableNow=True).start().awaitTermination()
@@ -127,3 +145,15 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append", keep_lates
         last = out.groupBy(*keep_latest_by).agg(F.max_by(F.struct(*[c for c in out.columns if c not in keep_latest_by]), "_batch").alias("_r"))
         out = last.select(*keep_latest_by, "_r.*").drop("_batch")
     return out
+
+
+def open_sessions(spark: SparkSession, base: str) -> DataFrame:
+    """ST2: the sessions that a drained stream into ``base`` still holds in its state, in the form of its sink.
+
+    At the end of a bounded input nothing can extend them; with them no incident is left out.
+    """
+    state = spark.read.format("statestore").option("operatorId", 0).load(os.path.join(base, "_checkpoint"))
+    return state.select(
+        F.col("value.session_window.start").alias("window_start"), F.col("value.session_window.end").alias("window_end"),
+        "value.corridor", F.col("value.count").alias("events"),
+    )

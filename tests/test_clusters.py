@@ -3,7 +3,9 @@
 import collections
 
 import numpy as np
+import pytest
 
+from roadpulse.config import EngineConfig
 from roadpulse.operators import clusters as K
 from roadpulse.registry.common import load_scored
 from tests.conftest import SF_SMALL
@@ -47,12 +49,13 @@ def _brute(ids, X, eps=0.5, min_samples=5, min_size=15):
     return out
 
 
-def test_dbscan_equals_brute_force(spark):
+@pytest.mark.parametrize("min_size", [1, 15])
+def test_dbscan_equals_brute_force(spark, min_size):
     s = load_scored(spark, SF_SMALL)
     pts = K.cluster_inputs(s)
     z = K.scale(pts, K.scaler_stats(pts)).toPandas()
     X = z[[f"z_{a}" for a in K._AXES]].to_numpy()
-    ref = _brute(z["id"].tolist(), X)
-    got = {r.id: r.cluster_id for r in K.dbscan(s).collect()}
+    ref = _brute(z["id"].tolist(), X, min_size=min_size)
+    got = {r.id: r.cluster_id for r in K.dbscan(s, EngineConfig(min_cluster_size=min_size)).collect()}
     assert got == ref
     assert len(set(ref.values())) > 2
