@@ -28,25 +28,26 @@ _LAYOUTS = [
     (_DATE, "$5$6$9-$2$3$7$10-$1$4$8$11"),  # groups of the layouts not matched are empty
     (r"(?<=-\d\d)T?(\d{2})(\d{2})(\d{2})$", " $1:$2:$3"),
 ]
-# What is left: month names, and times of day with AM or PM.
-_NAMED = "[yyyy-M-d][MMM d, yyyy][MMMM d, yyyy][MMM d yyyy][d MMM yyyy][d MMMM yyyy][d-MMM-yyyy][ h:mm:ss a][ h:mm a][ H:mm:ss][ H:mm]"
+# Rewritten text, month names, and times of day with AM or PM; each part in brackets is optional.
+_PARTS = (
+    "[yyyy-M-d][MMM d, yyyy][MMMM d, yyyy][MMM d yyyy][d MMM yyyy][d MMMM yyyy][d-MMM-yyyy]"
+    "[ h:mm:ss a][ h:mm a][ H:mm:ss][ H:mm]['T'H:mm:ss]['T'H:mm][.SSSSSS][XXX]"
+)
 
 
 def parse_timestamp(c: Column) -> Column:
     """Mixed-format text → UTC instant; unparseable text → null (never an error).
 
     Text without a zone is read as UTC (session zone), text with an offset is
-    converted.  Later parses are reached only by rows that failed the earlier ones.
+    converted.  The layout rewrite and its parse are reached only by rows that failed
+    the plain one; each value appears once in them, which matters once the optimizer
+    copies the expression into pushed-down filters.
     """
     text = c.cast("string")
     rewritten = text
     for pattern, repl in _LAYOUTS:
         rewritten = F.regexp_replace(rewritten, pattern, repl)
-    # ISO text (and 'NULL', which fails to parse) is settled by the first parse;
-    # coalesce evaluates the layout rewrite only for the rows that failed it.
-    return F.coalesce(
-        F.try_to_timestamp(text), F.try_to_timestamp(rewritten), F.try_to_timestamp(F.nullif(F.trim(rewritten), F.lit("")), F.lit(_NAMED))
-    )
+    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(F.when(F.trim(text) != "", F.trim(rewritten)), F.lit(_PARTS)))
 
 
 def parse_timestamps(df: DataFrame, cols: list[str] = C.TIMESTAMP_COLUMNS) -> DataFrame:
@@ -107,6 +108,11 @@ def impute_coords_by_group(df: DataFrame, key: str = "corridor") -> DataFrame:
     )
 
 
+def _within(value: Column, least: float, most: float | None = None) -> Column:
+    """``value`` inside the bounds, else null; the value's expression (two parses of text) appears only once."""
+    return F.get(F.filter(F.array(value), lambda v: (v >= least) & (v <= most) if most is not None else v >= least), F.lit(0))
+
+
 def derive_durations(df: DataFrame) -> DataFrame:
     """Resolution / planned duration / response delay with the validity caps."""
     closed = F.coalesce(F.col("closed_datetime"), F.col("resolved_datetime"))
@@ -116,9 +122,9 @@ def derive_durations(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "closed_datetime_combined": closed,
-            "resolution_hours": F.when((res >= 0) & (res <= 720), res),
-            "planned_duration_hours": F.when(plan >= 0, plan),
-            "response_delay_minutes": F.when((resp >= 0) & (resp <= 1440), resp),
+            "resolution_hours": _within(res, 0, 720),
+            "planned_duration_hours": _within(plan, 0),
+            "response_delay_minutes": _within(resp, 0, 1440),
         }
     )
 

@@ -16,6 +16,8 @@ CASES = {
     "Mar 5, 2024 10:00": "2024-03-05 10:00:00",
     "March 5, 2024 4:05:06 PM": "2024-03-05 16:05:06",
     "5 March 2024": "2024-03-05 00:00:00",
+    "3/5/2024 14:30:01.25": "2024-03-05 14:30:01",
+    "2024/03/05T10:00:00+05:30": "2024-03-05 04:30:00",
     "20240305": "2024-03-05 00:00:00",
     "20240305T101112": "2024-03-05 10:11:12",
     "20240305101112": "2024-03-05 10:11:12",

@@ -34,3 +34,9 @@ def test_no_cartesian_product(spark):
     """Joins are equi-joins or against one-row broadcast aggregates; no pair-emitting product."""
     for name in ["x1_feature_table", "d8_spillover", "a9_box_stats_top_causes", "d3_d5_estimates", "v2_severity_auc"]:
         assert "CartesianProduct" not in _plan(queries()[name](spark, SF_SMALL)), name
+
+
+def test_row_features_are_projections(spark):
+    for name in ["t1_calendar_parts", "g4_lat_lng_grid", "p1_cause_severity_rank"]:
+        p = _plan(queries()[name](spark, SF_SMALL))
+        assert "Join" not in p and "Exchange" not in p, name
