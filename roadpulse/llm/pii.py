@@ -1,11 +1,13 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapping from their contexts.
 
 The fixed patterns give seed entities.  Every identifier-like string (a run without
-spaces that holds digits) and every seed becomes an instance; the words around an
-occurrence, with the string's coarse shape, are its lexical patterns.  Spark scores the
-graph of patterns and instances in rounds: a pattern is as good as the share of its
-instances believed to be personal data, an instance as good as its best patterns
-together.  Instances that high-confidence patterns find become spans of the text too.
+spaces that holds digits, or digit-bearing groups with single spaces between them) and
+every seed becomes an instance, whatever letters it holds; the words around an occurrence
+are its lexical patterns.  Spark scores the graph of patterns and instances in rounds: a
+pattern is as good as the share of its other instances believed to be personal data, seeds
+or found in an earlier round; two words are judged from what one word of them tells on.
+An instance is as good as its best patterns together.  Instances that high-confidence
+patterns find become spans of the text too; of nested ones the longest.
 
 Texts are read once, in Python, which only finds the fixed patterns, the candidates and
 their contexts; counting, scoring and discovery are joins and aggregates over those.
@@ -18,18 +20,19 @@ from __future__ import annotations
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import materialize, prepare, table
 
 KINDS = ["email", "ip", "card", "phone", "context"]
 ROUNDS = 3
-MIN_SEEDS = 5  # distinct seeds that a pattern must have been seen with
 SHRINK = 2.0  # added to a pattern's instances, so that rare patterns score low
+BACK_OFF = 0.6  # what a one-word pattern's confidence counts for where its two-word pattern is new
 MIN_CONFIDENCE = 0.4  # share of a pattern's instances believed, from which on it may discover
 MIN_SCORE = 0.7  # of an instance that is discovered: one sure pattern, or two that agree
-MIN_DIGITS = 6  # of a candidate
+MIN_DIGITS = 3  # of a candidate
+MIN_LENGTH = 6  # letters and digits of a candidate
 
 # Runs start where no character of their class stands before, or right after the last match
 # (\G): the same matches as plain search, without trying each start within a long run.
@@ -40,8 +43,12 @@ PATTERNS = [
     r"\+[0-9][\x20().0-9-]+[0-9]",
 ]
 CANDIDATE = r"(?<!\S)\S*?[0-9]\S*"
+# Groups with digits and single spaces between them; a short group of letters may stand before and after.
+GROUP = r"[A-Z./-]*+[0-9][A-Z0-9./-]*+"
+SPACED = rf"(?<![^\s(\[{{\"':#=])(?:[A-Z]{{1,3}}\x20)?+({GROUP}(?:\x20{GROUP})+)(?:\x20[A-Z]{{1,2}}(?!\w))?(?!\w)"
+EDGES = ".,;:!?\"'()[]{}<>|#*$%&"
 SPANS = "array<struct<start:int,end:int,kind:int,value:string>>"
-CONTEXTS = "array<struct<start:int,end:int,value:string,seed:boolean,patterns:array<string>>>"
+CONTEXTS = "array<struct<start:int,end:int,value:string,seed:boolean,patterns:array<struct<pattern:string,parent:string>>>>"
 
 
 def luhn(digits: str) -> bool:
@@ -66,6 +73,7 @@ class Finder:
     def __init__(self):
         self.find = [regex.compile(p).finditer for p in PATTERNS]
         self.candidates = regex.compile(CANDIDATE).finditer
+        self.spaced = regex.compile(SPACED).finditer
         self.digit = regex.compile("[0-9]").search
         self.before = regex.compile(r"(?:\S+\s+)?\S+\s*$").search
         self.after = regex.compile(r"\s*(\S+)").match
@@ -83,41 +91,49 @@ class Finder:
         ]
         return sorted(found, key=lambda s: (s[0], s[2]))
 
-    def patterns(self, text: str, start: int, end: int, value: str) -> list[str]:
-        """Lexical patterns of an occurrence: two words before, and one word on either side, with its shape."""
-        shape = "@" if "@" in value else "9" if all(c in "0123456789 .-+()/" for c in value) else "x"
+    def patterns(self, text: str, start: int, end: int) -> list[tuple[str, str | None]]:
+        """Lexical patterns of an occurrence, each with its parent: two words before, and one word on either side.
+
+        Their parents, patterns too, have one word, before or after; ^ and $ stand for missing words.
+        """
         before = self.before(text, max(0, start - 80), start)
         after = self.after(text, end, min(len(text), end + 40))
         words = [w.strip(".,;!?\"'").lower() for w in before.group().split()] if before else []
-        left = words[-1] if words else ""
-        right = after.group(1).strip(".,;!?\"'").lower() if after else ""
-        out = []
-        if len(words) == 2:
-            out.append(f"{shape} {words[0]} {left} _")
-        if left and right:
-            out.append(f"{shape} {left} _ {right}")
-        return out
+        first, left = (["^", "^"] + words)[-2:]
+        right = after.group(1).strip(".,;!?\"'").lower() if after else "$"
+        one, other = f"{left} _", f"_ {right}"
+        return [(f"{first} {left} _", one), (f"{left} _ {right}", other), (one, None), (other, None)]
+
+    def candidates_of(self, text: str) -> list[tuple[int, int, str]]:
+        """Identifier-like strings (start, end, value) by start: runs without spaces, and spaced groups with and without letters around."""
+        out = set()
+        if self.digit(text):
+            places = [m.span() for m in self.candidates(text)]
+            places += [m.span(g) for m in self.spaced(text) for g in (0, 1)]
+            for start, end in places:
+                run = text[start:end]
+                value = run.strip(EDGES)
+                if sum(c in "0123456789" for c in value) < MIN_DIGITS or sum(c.isalnum() for c in value) < MIN_LENGTH:
+                    continue
+                start += run.index(value)
+                out.add((start, start + len(value), value))
+        return sorted(out)
 
     def contexts(self, text: str, base: list) -> list[tuple]:
         """Occurrences (start, end, value, seed, patterns) of seeds and of candidates outside them."""
         out, upto = [], []
         for start, end, _, value in base:
-            out.append((start, end, value, True, self.patterns(text, start, end, value)))
+            out.append((start, end, value, True, self.patterns(text, start, end)))
             upto.append((start, end))
         at = 0
         upto.sort()
-        for m in self.candidates(text) if self.digit(text) else ():
-            value = m.group().strip(".,;:!?\"'()[]{}<>|#*$%&")
-            if sum(c in "0123456789" for c in value) < MIN_DIGITS or len(value) > 64:
-                continue
-            start = m.start() + m.group().index(value)
-            end = start + len(value)
+        for start, end, value in self.candidates_of(text):
             while at < len(upto) and upto[at][1] <= start:
                 at += 1
             if at < len(upto) and upto[at][0] < end:
                 continue
-            out.append((start, end, value, False, self.patterns(text, start, end, value)))
-        return [x for x in out if x[4]]
+            out.append((start, end, value, False, self.patterns(text, start, end)))
+        return out
 
 
 def found_column(text: Column) -> Column:
@@ -133,28 +149,34 @@ def found_column(text: Column) -> Column:
 
 
 def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Instances (value, seed, score) of a graph of distinct edges (pattern, value, seed), scored in rounds.
+    """Instances (value, seed, score) of a graph of distinct edges (pattern, parent, value, seed), scored in rounds.
 
-    Only patterns with MIN_SEEDS seeds are kept; every
-    round is two aggregates and two joins, written to the shared folder.
+    An edge's confidence leaves its own instance out, so none supports itself; every
+    round is three aggregates and three joins, written to the shared folder.
     """
-    seeds = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count("*").alias("n"))
-    good = materialize(seeds.where(F.col("seeds") >= MIN_SEEDS), "pii-patterns")
-    graph = materialize(edges.join(good.select("pattern"), "pattern"), "pii-graph")
+    graph = materialize(edges, "pii-graph")
     scores = graph.select("value", "seed").distinct().withColumn("score", F.col("seed").cast("double"))
     for _ in range(rounds):
-        belief = (
-            graph.join(scores.select("value", "score"), "value").groupBy("pattern")
-            .agg((F.sum("score") / (F.count("*") + SHRINK)).alias("confidence"))
+        held = (
+            graph.join(scores.select("value", "score"), "value").groupBy("pattern", "parent")
+            .agg(F.sum("score").alias("believed"), F.count("*").alias("n"))
+        )
+        held = materialize(held, "pii-patterns")
+        ones = held.where("parent is null and believed > 0").select(F.col("pattern").alias("parent"), F.col("believed").alias("all_believed"), F.col("n").alias("all_n"))
+        # Without belief in its parent a pattern has none either.
+        two = held.where("parent is not null").join(ones, "parent").select("pattern", "believed", "n", "all_believed", "all_n")
+        own = F.col("score")
+        one = BACK_OFF * (F.col("all_believed") - own) / (F.col("all_n") - 1 + SHRINK)
+        confidence = (F.col("believed") - own + SHRINK * one) / (F.col("n") - 1 + SHRINK)
+        told = (
+            graph.where("parent is not null and not seed").join(two, "pattern").join(scores.select("value", "score"), "value")
+            .select("value", confidence.alias("confidence")).where(F.col("confidence") >= MIN_CONFIDENCE)
+            .groupBy("value").agg((1 - F.exp(F.sum(F.log1p(-F.least("confidence", F.lit(0.999)))))).alias("now"))
         )
-        doubt = F.sum(F.when(F.col("confidence") >= MIN_CONFIDENCE, F.log1p(-F.least("confidence", F.lit(0.999)))))
         scores = materialize(
-            graph.join(belief, "pattern").groupBy("value", "seed").agg(doubt.alias("doubt")).select(
-                "value", "seed",
-                F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("doubt", F.lit(0.0)))).alias("score"),
-            ),
+            scores.join(told, "value", "left").select("value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("now", F.lit(0.0))).alias("score")),
             "pii-scores",
-        )
+        )
     return scores
 
 
@@ -168,11 +190,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         "pii-found",
     )
     seen = found.select("row", F.explode("seen").alias("s")).select("row", "s.*")
-    edges = seen.select(F.explode("patterns").alias("pattern"), "value", "seed").groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
+    pairs = seen.select(F.explode("patterns").alias("p"), "value", "seed").select("p.*", "value", "seed")
+    known = seen.groupBy("value").agg(F.max("seed").alias("seed"))  # a seed once is a seed everywhere
+    edges = pairs.select("pattern", "parent", "value").distinct().join(known, "value")
     scores = score_graph(edges)
     new = scores.where(~F.col("seed") & (F.col("score") >= MIN_SCORE)).select("value")
+    before = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
     more = (
         seen.where(~F.col("seed")).join(new, "value")
+        .withColumn("upto", F.max("end").over(before)).where("upto is null or end > upto")  # not inside another
         .groupBy("row").agg(F.collect_list(F.struct("start", "end", F.lit(KINDS.index("context")).alias("kind"), "value")).alias("more"))
     )
     spans = F.concat("base", F.coalesce("more", F.array().cast(SPANS)))

@@ -278,6 +278,20 @@ def test_pii_bootstraps_from_contexts(spark):
     assert found == set(range(30))
 
 
+def test_pii_finds_letters_groups_and_what_found_ones_lead_to(spark):
+    rows = [(i, f"please call my cell +1 (212) 555-{1000 + i * 13} now") for i in range(30)]
+    rows += [(100 + i, f"please call my cell AB{1234567 + i} now") for i in range(20)]
+    rows += [(200 + i, f"please call my cell DE{10 + i} 3704 0044 0532 {4130 + i} 00 now") for i in range(5)]
+    rows += [(300 + i, f"the customer id AB{1234567 + i} is on file") for i in range(20)]  # no seed stands there
+    rows += [(400 + i, f"the customer id ZX{7654321 + i} is on file") for i in range(5)]
+    rows += [(500 + i, f"the invoice number QR{7000000 + i} was paid") for i in range(30)]
+    rows += [(600, "please call my cell " + "a1b2c3" * 20 + " now")]
+    got = collect(pii.scan(spark.createDataFrame(rows, KINDS)), "id")
+    found = {i: s.value for i, r in got.items() for s in r.spans if s.kind == 4}
+    assert set(found) == {i for i, _ in rows if 100 <= i < 500 or i == 600}
+    assert found[100] == "AB1234567" and found[200] == "DE10 3704 0044 0532 4130 00" and len(found[600]) == 120
+
+
 def test_decontamination_equals_brute_force(spark, docs, none):
     items = pd.read_parquet(f"{SF}/benchmark.parquet")
     own = {i: decontaminate.shingles(decontaminate.words_of(t)) for i, t in zip(items.item_id, items.text)}
