@@ -6,9 +6,11 @@ between is part of it, so the lengths of the pieces add up to code point places
 text without a match is read once.
 
 Two character Markov models are counted from labelled samples, one of random strings
-and one of ordinary identifiers.  Every other run of identifier characters of a minimum
-length is scored by the log-likelihood ratio of its character pairs; above a threshold
-it is a secret too.  The table of ratios is bounded by the alphabet's square.
+and one of ordinary identifiers.  The log-likelihood ratio of character pairs is summed along every run of
+identifier characters outside the matches; a stretch of a run whose sum is above a
+threshold is a secret too, whatever ordinary text it is joined to.  How short a run may
+be follows from the threshold and the largest ratio.  The table of ratios is bounded by
+the alphabet's square.
 
 Defined results: null and empty texts have no spans; equal rows get equal results;
 without samples of a class its model is uniform; an empty table gives an empty result.
@@ -22,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import fresh, materialize, prepare, table
+from roadpulse.llm.common import materialize, prepare, table
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 # Runs of a class and a minimum length: the same spans as whole runs filtered by length.
@@ -30,11 +32,13 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 MIN_VALUE = 12
 KINDS = ["assign", "access", "hex", "markov"]
+SPANS = "array<struct<start:int,end:int,kind:int,value:string>>"
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-MIN_RUN = 20  # characters of a run that is scored
-RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}"
+CHARACTER = "[A-Za-z0-9+/_=-]"
 MIN_RATIO = 8.0  # natural logarithm of the likelihood ratio
+ORDINARY = -MIN_RATIO / 2  # of what is left at a run's end: below, it is cut from the secret beside it
+LONG_RUN = 200  # characters from which on a run is summed without a look at its pairs first
 SOURCE_PAIRS = 20_000  # what the counts of a source of samples are scaled to
 SMOOTHING = 0.5  # added to each pair's count
 VOCABULARY = "word_bpe_49k.json"
@@ -42,20 +46,20 @@ SAMPLE_DOCS = 2000  # documents whose words are the sample of ordinary identifie
 SAMPLE_SECRETS = 2000  # values found by the patterns, and uniform strings, in the sample of random ones
 
 
-def found_spans(text: Column, pattern: str, kind: int, min_value: int | None = None) -> Column:
+def found_spans(text: Column, pattern: str | Column, kind: int, min_value: int | None = None) -> Column:
     """Array of (start, end, kind, value) of a pattern's matches; value is its first group, or else the match."""
-    whole = rf"\G(?s:.*?)({pattern})"
+    whole = F.concat(F.lit(r"\G(?s:.*?)("), F.lit(pattern), F.lit(")"))
 
     def step(acc, piece):
         end = acc["at"] + F.length(piece)
-        match = F.regexp_extract(piece, whole, 1)
-        value = F.regexp_extract(piece, whole, 2) if min_value is not None else match
+        match = F.call_function("regexp_extract", piece, whole, F.lit(1))
+        value = F.call_function("regexp_extract", piece, whole, F.lit(2)) if min_value is not None else match
         span = F.struct((end - F.length(match)).alias("start"), end.alias("end"), F.lit(kind).alias("kind"), value.alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    none = F.array().cast("array<struct<start:int,end:int,kind:int,value:string>>")
+    none = F.array().cast(SPANS)
     spans = F.aggregate(
-        F.regexp_extract_all(text, F.lit(whole), F.lit(0)), F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"]
+        F.regexp_extract_all(text, whole, F.lit(0)), F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"]
     )
     if min_value is not None:
         spans = F.filter(spans, lambda s: F.length(s["value"]) >= min_value)
@@ -117,6 +121,119 @@ def score(run: Column, ratios: Column) -> Column:
     return F.aggregate(pair_numbers(run), F.lit(0.0), lambda acc, p: acc + F.element_at(ratios, p))
 
 
+def bounds(ratios: DataFrame) -> tuple[int, str]:
+    """Characters of the shortest run whose ratios may add up to more than MIN_RATIO, and a regex of all such runs.
+
+    A sum above it takes a number of pairs with positive ratios; the regex, a tree over their first characters, counts them.
+    """
+    told = ratios.first()["ratios"]
+    if max(told) <= 0:
+        return 1 << 30, "(?!)"
+    need, size = int(MIN_RATIO / max(told)) + 1, len(ALPHABET)
+    seconds = {a: [b for j, b in enumerate(ALPHABET) if told[i * size + j] > 0] for i, a in enumerate(ALPHABET)}
+
+    def some(chars):
+        return "[" + "".join(c if c.isalnum() else "\\" + c for c in chars) + "]"
+
+    def tree(firsts):
+        if len(firsts) == 1:
+            return some(firsts) + some(seconds[firsts[0]])
+        half = len(firsts) // 2
+        return f"(?:(?={some(firsts[:half])}){tree(firsts[:half])}|{tree(firsts[half:])})"
+
+    pair = tree(sorted((a for a in ALPHABET if seconds[a]), key=lambda a: (not a.islower(), a)))
+    return need + 1, f"^(?:(?:(?!{pair}).)*+.){{{need}}}"
+
+
+def best_sum(run: Column, ratios: Column) -> Column:
+    """Largest log-likelihood ratio of a stretch of a run."""
+
+    def step(acc, p):
+        now = F.greatest(acc["sum"] + F.element_at(ratios, p), F.lit(0.0))
+        return F.struct(now.alias("sum"), F.greatest(acc["best"], now).alias("best"))
+
+    return F.aggregate(pair_numbers(run), F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("best")), step, lambda acc: acc["best"])
+
+
+def stretches(run: Column, ratios: Column) -> Column:
+    """Array of (start, end) of a run's stretches above MIN_RATIO: each ends at its largest sum, once the sum has fallen
+    to nothing or by MIN_RATIO."""
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def emitted(acc):
+        own = F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))
+        return F.when(acc["best"] > MIN_RATIO, F.concat(acc["out"], own)).otherwise(acc["out"])
+
+    def state(at, total, start, best, end, out):
+        return F.struct(at.alias("at"), total.alias("sum"), start.alias("start"), best.alias("best"), end.alias("end"), out.alias("out"))
+
+    def step(acc, p):
+        at, total = acc["at"] + 1, acc["sum"] + F.element_at(ratios, p)
+        over = (total <= 0) | (total < acc["best"] - MIN_RATIO)
+        more = total > acc["best"]
+        return F.when(over, state(at, F.lit(0.0), at, F.lit(0.0), at, emitted(acc))).otherwise(
+            state(at, total, acc["start"], F.greatest(acc["best"], total), F.when(more, at + 1).otherwise(acc["end"]), acc["out"])
+        )
+
+    zero = F.lit(0)
+    return F.aggregate(pair_numbers(run), state(zero, F.lit(0.0), zero, F.lit(0.0), zero, none), step, emitted)
+
+
+def widened(run: Column, found: Column, ratios: Column) -> Column:
+    """Stretches to the ends of their words, and to the run's ends where what is left there is not clearly ordinary."""
+
+    def unclear(start, length):
+        return score(F.substr(run, start + 1, length), ratios) > ORDINARY
+
+    def wide(s, i):
+        low = F.when(i > 0, F.get(found, i - 1)["end"]).otherwise(0)
+        word = F.length(F.regexp_extract(F.substr(run, low + 1, s["start"] - low), "[A-Za-z0-9]*$", 0))
+        start = s["start"] - word
+        start = F.when((i == 0) & unclear(F.lit(0), start + 1), 0).otherwise(start)
+        word = F.length(F.regexp_extract(F.substr(run, s["end"] + 1), "^[A-Za-z0-9]*", 0))
+        end = s["end"] + word
+        end = F.when(unclear(end - 1, F.length(run)), F.length(run)).otherwise(end)
+        return F.struct(start.alias("start"), F.when(i == F.size(found) - 1, end).otherwise(s["end"]).alias("end"))
+
+    return F.transform(found, wide)
+
+
+def scored_runs(text: Column, ratios: Column, shortest: int, likely: str) -> Column:
+    """A text's distinct runs that have a stretch above MIN_RATIO."""
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(f"{CHARACTER}{{{shortest},}}"), F.lit(0)))
+    runs = F.filter(runs, lambda x: (F.length(x) > LONG_RUN) | x.rlike(likely))
+    return F.filter(runs, lambda x: best_sum(x, ratios) > MIN_RATIO)
+
+
+def model_spans(text: Column, base: Column, runs: Column, ratios: Column, shortest: int) -> Column:
+    """Spans of the stretches that the models take for secrets, in the parts of ``runs`` outside the base spans."""
+    run = f"{CHARACTER}{{{shortest},}}"
+    least = F.array_min(F.transform(runs, F.length)).cast("string")
+
+    def placed(r):
+        # What the base spans cover is blank; few runs come this far.
+        own = F.filter(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
+        left = F.transform(
+            F.split(r["value"], ""),
+            lambda c, i: F.when(F.exists(own, lambda b: (b["start"] <= r["start"] + i) & (r["start"] + i < b["end"])), " ").otherwise(c),
+        )
+        left = F.when(F.size(own) == 0, r["value"]).otherwise(F.array_join(left, ""))
+
+        def inside(part):
+            def span(s):
+                start = r["start"] + part["start"] + s["start"]
+                value = F.substr(part["value"], s["start"] + 1, s["end"] - s["start"])
+                return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), F.lit(3).alias("kind"), value.alias("value"))
+
+            return F.transform(widened(part["value"], stretches(part["value"], ratios), ratios), span)
+
+        return F.flatten(F.transform(found_spans(left, run, 3), inside))
+
+    # A stretch outside the base spans is a stretch of the whole run too, so its sum is no larger.
+    places = F.filter(found_spans(text, F.concat(F.lit(f"{CHARACTER}{{"), least, F.lit(",}")), 3), lambda r: F.array_contains(runs, r["value"]))
+    return F.when(F.size(runs) > 0, F.flatten(F.transform(places, placed)))
+
+
 def ordinary_identifiers(spark: SparkSession, vocabulary: str | None = None) -> DataFrame:
     """Labelled ordinary identifiers: the words of a public vocabulary file, alone and joined as in code and paths.
 
@@ -171,20 +288,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
     """
     prepare(docs.sparkSession)
     text = F.col(text_col)
-    held = materialize(
-        docs.select(F.col(id_col).alias("id"), base_spans(text).alias("base"), found_spans(text, RUN, 3).alias("runs")), "secret-spans"
-    )
     if samples is None:
-        values = held.select(F.explode("base.value").alias("value"))
+        values = materialize(docs.select(F.explode(base_spans(text)["value"]).alias("value")).distinct(), "secret-values")
         samples = labelled_samples(docs.select(id_col, text_col), values, id_col, text_col)
     ratios = materialize(train(samples), "secret-model")
-    model = fresh(held, "ratios")
-    more = F.filter(
-        "runs",
-        lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-        & (score(r["value"], F.col(model)) > MIN_RATIO),
-    )
-    return held.withColumn(model, ratios.scalar()).select("id", "base", F.array_sort(F.concat("base", more), _order).alias("spans"))
+    shortest, likely = bounds(ratios)
+    held = docs.select(F.col(id_col).alias("id"), text.alias("text"), base_spans(text).alias("base")).withColumn("ratios", ratios.scalar())
+    held = held.withColumn("runs", scored_runs(F.col("text"), F.col("ratios"), shortest, likely))
+    more = model_spans(F.col("text"), F.col("base"), F.col("runs"), F.col("ratios"), shortest)
+    spans = F.array_sort(F.concat("base", F.coalesce(more, F.array().cast(SPANS))), _order)
+    return materialize(held.select("id", "base", spans.alias("spans")), "secret-spans")
 
 
 def told(spans: Column) -> Column:

@@ -254,6 +254,29 @@ def test_secret_scan_base_and_models(spark, docs):
     assert got[10_005].spans == [] and got[10_003].spans == []
 
 
+def test_secret_scan_finds_secrets_joined_to_ordinary_text(spark, docs):
+    random.seed(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    joined = ["/credentials/", "/services/payments/production/credentials/", "the-production-service-account-credential-value-is=", ""]
+    rows, held = [], {}
+    for i in range(80):
+        drawn = "".join(random.choice(letters) for _ in range(18 if i % 4 == 3 else 40))
+        rows.append((10_000 + i, f"é {joined[i % 4]}{drawn} end"))
+        held[10_000 + i] = (2 + len(joined[i % 4]), 2 + len(joined[i % 4]) + len(drawn))
+    first, second = ("".join(random.choice(letters) for _ in range(40)) for _ in range(2))
+    rows += [(20_000, f"{first}/services/payments/production/credentials/{second}"), (20_001, f"{'0123456789abcdef' * 2}/{first}")]
+    df = spark.createDataFrame([(int(i), t) for i, t in zip(docs.doc_id, docs.text)] + rows, KINDS)
+    got = collect(secret_scan.scan(df), "id")
+    for k in range(4):
+        own = [i for i in held if i % 4 == k]
+        found = sum(any(s.kind == 3 and s.start <= held[i][0] and held[i][1] <= s.end for s in got[i].spans) for i in own)
+        # At most the last word before it is taken along.
+        cut = sum(any(s.kind == 3 and held[i][0] - 13 <= s.start and s.end == held[i][1] for s in got[i].spans) for i in own)
+        assert min(found, cut) >= (8 if k == 3 else 18)
+    assert len([s for s in got[20_000].spans if s.kind == 3]) == 2
+    assert [s.kind for s in got[20_001].spans] == [2, 3] and got[20_001].spans[1].start in (32, 33)
+
+
 def test_pii_base_equals_plain_search(spark, docs, none):
     patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
                 r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
