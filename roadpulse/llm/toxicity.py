@@ -1,8 +1,9 @@
 """Toxicity by a classifier chain over words and word beginnings.
 
-Categories are predicted one after the other.  Each is a logistic regression over the
-words of a document (a vocabulary chosen by how differently labelled documents use a
-word or a beginning) and the probabilities of the categories before it.  For training, those
+Categories, the columns of the labels table, are predicted one after the other.  Each is
+a logistic regression over the words of a document (a vocabulary chosen by how differently
+the documents of each category use a word or a beginning) and the probabilities of the
+categories before it.  For training, those
 probabilities are out of fold: every labelled document gets them from models that have
 not seen it, so later models learn how far earlier ones can be trusted.  For scoring,
 each category's model trained on the whole sample supplies them.
@@ -12,7 +13,7 @@ of a digest of the id); all documents are scored.
 
 Defined results: null and empty texts have no words and get the models' intercepts;
 repeated rows get equal scores; an id labelled more than once counts with its largest
-label; a category with only one class in the sample gets its rate as a constant
+label; documents without a category's label do not train it; a category with only one class in the sample gets its rate as a constant
 probability; empty tables give empty results.
 """
 
@@ -29,19 +30,14 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import materialize, prepare, table
 
 MAX_LABELLED = 20_000
-VOCABULARY = 1000
+VOCABULARY = 1000  # words of a category
 MIN_DOCS = 5  # labelled documents that a word of the vocabulary stands in
 FOLDS = 3
 PASSES = 20
 REGULARIZATION = 0.01
 THRESHOLD = 0.5
 
-# Beginnings of words that tell the kinds apart among documents labelled toxic.
-KINDS = {
-    "insult": ["idiot", "moron", "clown", "loser", "scum", "achkeit", "réê", "boco"],
-    "contempt": ["stupid", "pathetic", "worthless", "disgusting", "trash", "achlich", "réeux", "bomente"],
-}
-CATEGORIES = [*KINDS, "toxic"]
+CATEGORIES = ["quality", "toxic"]  # in the order of the chain
 PREFIXES = range(4, 8)  # characters of a word's beginnings that are features like words
 
 
@@ -55,23 +51,23 @@ def words(text):
     return F.concat(own, *map(starts, PREFIXES))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, kinds=KINDS, most: int = MAX_LABELLED) -> DataFrame:
-    """Rows (id, fold, words, a label per category) of at most about ``most`` labelled documents."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, categories=CATEGORIES, most: int = MAX_LABELLED) -> DataFrame:
+    """Rows (id, fold, words, a label per category or null) of at most about ``most`` documents labelled with the last category."""
+    own = [F.max(c if c in labels.columns else F.lit(None).cast("int")).alias(c) for c in categories]
     ids = (
-        labels.where("toxic is not null").groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").alias("toxic"))
+        labels.where(F.col(categories[-1]).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(*own)
         .where("id is not null").orderBy(F.xxhash64("id"), "id").limit(most)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
-    rows = texts.withColumn("words", words(F.col("text")))  # of the sample's texts only
-    return rows.select(
-        "id", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)).alias("fold"), "words",
-        *[((F.col("toxic") == 1) & F.exists("words", lambda w: w.rlike(f"^({'|'.join(own)})"))).cast("double").alias(k) for k, own in kinds.items()],
-        (F.col("toxic") == 1).cast("double").alias("toxic"),
+    return texts.select(
+        "id", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)).alias("fold"), words(F.col("text")).alias("words"),
+        *[(F.col(c) == 1).cast("double").alias(c) for c in categories],
     )
 
 
 def vocabulary(sample: DataFrame, label: str = "toxic", size: int = VOCABULARY) -> list[str]:
     """The words whose share of labelled documents differs most between the classes, by its z-score."""
+    sample = sample.where(F.col(label).isNotNull())
     whole = sample.agg(F.sum(label).alias("n1"), F.count("*").alias("n")).first()
     n1, n = whole["n1"] or 0.0, whole["n"]
     counts = sample.select(label, F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.sum(label).alias("c1"), F.count("*").alias("c"))
@@ -93,6 +89,7 @@ class Constant:
 
 
 def _fit(df: DataFrame, label: str, features: str):
+    df = df.where(F.col(label).isNotNull())
     known = df.agg(F.avg(label).alias("rate")).first()["rate"]
     if known is None or known in (0.0, 1.0):
         return Constant(known or 0.0)
@@ -146,7 +143,8 @@ class Chain:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Chain:
     prepare(docs.sparkSession)
     sample = materialize(labelled_sample(docs, labels, id_col, text_col), "toxicity-labelled")
-    return Chain(vocabulary(sample), CATEGORIES).fit(sample)
+    told = {w: None for c in CATEGORIES for w in vocabulary(sample, c)}
+    return Chain(list(told), CATEGORIES).fit(sample)
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -366,6 +366,17 @@ def test_toxicity_held_out(spark):
     assert (got[got.toxic == 0].p_toxic >= 0.5).mean() < 0.03
 
 
+def test_toxicity_chain_predicts_the_labels_it_is_given(spark):
+    # Other toxic words than those of the generated tables, and a quality that other words tell.
+    rows = [(i, f"{'vile rogue' if i % 3 == 0 else 'kind friend'} {'fine prose' if i % 2 else 'spam spam'} w{i % 11}") for i in range(240)]
+    labels = [(i, None if i % 20 == 7 else i % 2, int(i % 3 == 0)) for i in range(180)]
+    docs = spark.createDataFrame(rows, KINDS)
+    chain = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert not any(isinstance(m, toxicity.Constant) for m in chain.models.values()) and len(chain.models) > 1
+    for r in toxicity.score(docs, chain).collect():
+        assert (r.p_quality >= 0.5) == (r.id % 2 == 1) and (r.p_toxic >= 0.5) == (r.id % 3 == 0)
+
+
 def test_toxicity_without_labels(spark, odd, none):
     chain = toxicity.train(none, spark.createDataFrame([], "doc_id long, toxic int"))
     got = toxicity.score(odd, chain).collect()
