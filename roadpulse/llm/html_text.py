@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from itertools import takewhile
 
 import pandas as pd
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -46,6 +47,7 @@ BOILER_WORDS = frozenset(
     "sponsor sponsored sponsors subscribe tags toolbar topbar widget widgets".split()
 )
 MAIN_WORDS = frozenset("article articlebody body content entry main post story text".split())
+QUALIFIERS = frozenset("has no with without".split())  # what follows in a name tells of the page, not of the container
 SPLIT_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+").findall
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden").search
 
@@ -62,7 +64,7 @@ class Blocks(HTMLParser):
         self.text: list[str] = []
         self.linked: list[str] = []
         self.open: list[tuple[str, int]] = []  # containers: tag, zone (-1 boilerplate, 0 as outside, 1 main, 2 hidden)
-        self.dropped: list[str] = []
+        self.dropped: list[str] = []  # an open dropped tag, then the dropped tags and containers within it
         self.in_link = 0
         self.block_tag = ""
 
@@ -81,21 +83,27 @@ class Blocks(HTMLParser):
     def mark(self, tag: str, attrs: dict) -> int:
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN(attrs.get("style") or ""):
             return 2
-        words = {w.lower() for k in ("class", "id") for w in SPLIT_WORDS(attrs.get(k) or "")}
+        names = [[w.lower() for w in SPLIT_WORDS(n)] for k in ("class", "id") for n in (attrs.get(k) or "").split()]
+        words = {w for n in names for w in takewhile(lambda w: w not in QUALIFIERS, n)}
         role = (attrs.get("role") or "").lower()
         if tag == "header" and self.zone() == 1 and not words & BOILER_WORDS - {"header"}:
             return 0  # an article's own heading
         if tag in MAIN_TAGS or role in ("main", "article"):
-            return -1 if words & BOILER_WORDS else 1
+            inner = self.zone() != 0 and tag != "main" and role != "main"  # a comment, say
+            return -1 if inner and words & BOILER_WORDS else 1
         if tag in BOILER_TAGS or role in BOILER_ROLES or words & BOILER_WORDS:
             return -1
         return 1 if words & MAIN_WORDS else 0
 
     def handle_starttag(self, tag, attrs):
+        if self.dropped and (self.dropped[0] == "head" and tag == "body" or self.dropped == ["head"] and tag in BLOCK_TAGS):
+            self.dropped = []  # the end tag of head may be left out
         if tag in DROPPED:
             self.dropped.append(tag)
             return
         if self.dropped:
+            if tag in CONTAINERS:
+                self.dropped.append(tag)
             return
         if tag in SPACED:
             self.text.append(" ")
@@ -126,7 +134,10 @@ class Blocks(HTMLParser):
             if tag in self.dropped:
                 while self.dropped.pop() != tag:
                     pass
-            return
+                return
+            if tag not in ("body", "html") and not any(t == tag for t, _ in self.open):
+                return
+            self.dropped = []  # never closed: it ends with the container around it
         if tag == "a":
             self.in_link = max(0, self.in_link - 1)
         if tag in BLOCK_TAGS:

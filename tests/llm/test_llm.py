@@ -409,6 +409,17 @@ def test_html_leaves_out_what_is_not_the_article(spark):
     assert {k: got[k].text for k in pages} == {k: want for k, (_, want) in pages.items()}
 
 
+def test_html_keeps_articles_of_broken_and_qualified_markup(spark):
+    own = f"<p>{html_text.S}</p><p>{html_text.L}</p>"
+    pages = {"head": f"<html><head><title>t</title><meta charset=x><body><article>{own}</article></body></html>"}
+    pages |= {t: f"<div><{t}>x<div>y</div></div><article>{own}</article>" for t in ("noscript", "button", "object", "svg", "canvas")}
+    pages |= {c: f"<main class='{c}'>{own}</main>" for c in ("has-sidebar", "no-sidebar", "has-comments", "with-banner", "sidebar")}
+    pages |= {f"div {c}": f"<div class='content {c}'>{own}</div>" for c in ("has-sidebar", "with-banner")}
+    df = spark.createDataFrame([(k, None, v) for k, v in pages.items()], "page_id string, url string, html string")
+    got = collect(html_text.extract(df), "id")
+    assert {k: got[k].text for k in pages} == dict.fromkeys(pages, f"{html_text.S}\n{html_text.L}")
+
+
 def test_pipeline_stages_and_result(spark, docs):
     import corpus_pipeline
 
