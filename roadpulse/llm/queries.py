@@ -10,6 +10,7 @@ from roadpulse.llm.pii import op10_pii_bootstrap
 from roadpulse.llm.quality import op9_quality_repetition
 from roadpulse.llm.secret_scan import op2_secret_scan
 from roadpulse.llm.simhash import op3_simhash_near_dedup
+from roadpulse.llm.token_counts import op13_token_counts
 from roadpulse.llm.toxicity import op6_toxicity_chain
 from roadpulse.llm.warc import op7_warc_round_trip
 
@@ -26,6 +27,7 @@ QUERIES = {
         op8_line_dedup,
         op9_quality_repetition,
         op10_pii_bootstrap,
+        op13_token_counts,
     )
 }
 ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL}
