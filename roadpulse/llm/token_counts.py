@@ -44,8 +44,8 @@ NONE = np.int32(2**31 - 1)  # rank of a pair that is no merge
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters whose classes are the same in every Unicode table in use; texts with others are split by the library.
 SAFE = (
-    r"[\x00-՗ՙ-֊֍-ࢎ࢐-౛ౝ-೛ೝ-₎ₐ-ₜ₠-ꟍ"
-    r"ꠀ-꭫꭮-퟿-￿\U0001f000-\U0001fbff]*+"
+    r"[\x00-\u0557\u0559-\u058a\u058d-\u088e\u0890-\u0c5b\u0c5d-\u0cdb\u0cdd-\u208e\u2090-\u209c"
+    r"\u20a0-\ua7cd\ua800-\uab6b\uab6e-\ud7ff\ue000-\uffff\U0001f000-\U0001fbff]*+"
 )
 
 
@@ -78,15 +78,15 @@ class Splitter:
         self.seam = regex.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])").search
 
     def parts(self, text: str):
-        """(number of special tokens, words) of consecutive parts; a part ends where a word does."""
+        """(special tokens, characters, words) of consecutive parts; a part ends where a word does."""
         at = 0
         for m in self.special(text):
             for a, b in self._cuts(text, at, m.start()):
-                yield 0, self._words(text[a:b])
-            yield 1, []
+                yield 0, b - a, self._words(text[a:b])
+            yield 1, 0, []
             at = m.end()
         for a, b in self._cuts(text, at, len(text)):
-            yield 0, self._words(text[a:b])
+            yield 0, b - a, self._words(text[a:b])
 
     def _cuts(self, text: str, at: int, end: int):
         while end - at > PART_CHARS and (m := self.seam(text, at + PART_CHARS, end)):
@@ -246,10 +246,10 @@ def _count_texts(spec: str, id_type: pa.DataType):
             for row, text in enumerate(batch.column(1)):
                 text = text.as_py() or ""
                 sizes[row] = len(text) if text.isascii() else len(text.encode())
-                for special, words in split(text):
+                for special, size, words in split(text):
                     tokens[row] += special
                     held.append((row, words))
-                    waiting += sum(map(len, words))
+                    waiting += size
                     if waiting > PART_CHARS:
                         count(held, tokens)
                         held, waiting = [], 0
