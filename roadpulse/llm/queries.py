@@ -5,6 +5,7 @@ from __future__ import annotations
 from roadpulse.llm.bpe import op5_bpe_encode_decode
 from roadpulse.llm.decontaminate import op4_decontaminate_bm25
 from roadpulse.llm.html_text import op1_html_main_text
+from roadpulse.llm.lexical_rank import OP11_SQL, op11_lexical_search
 from roadpulse.llm.lines import OP8_SQL, op8_line_dedup
 from roadpulse.llm.pii import op10_pii_bootstrap
 from roadpulse.llm.quality import op9_quality_repetition
@@ -27,10 +28,11 @@ QUERIES = {
         op8_line_dedup,
         op9_quality_repetition,
         op10_pii_bootstrap,
+        op11_lexical_search,
         op13_token_counts,
     )
 }
-ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL}
+ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL, "op11_lexical_search": OP11_SQL}
 
 
 def queries():
