@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from roadpulse.llm.bpe import op5_bpe_encode_decode
 from roadpulse.llm.decontaminate import op4_decontaminate_bm25
+from roadpulse.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from roadpulse.llm.html_text import op1_html_main_text
 from roadpulse.llm.lexical_rank import OP11_SQL, op11_lexical_search
 from roadpulse.llm.lines import OP8_SQL, op8_line_dedup
@@ -29,10 +30,11 @@ QUERIES = {
         op9_quality_repetition,
         op10_pii_bootstrap,
         op11_lexical_search,
+        op12_hard_negatives,
         op13_token_counts,
     )
 }
-ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL, "op11_lexical_search": OP11_SQL}
+ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL, "op11_lexical_search": OP11_SQL, "op12_hard_negatives": OP12_SQL}
 
 
 def queries():
