@@ -1,22 +1,25 @@
 """Spatial-temporal hotspots (K1–K6): scaling, distributed DBSCAN, cluster statistics.
 
 K2 is exact DBSCAN (eps-ball in the 5-D standardised space, ``min_samples``
-counting duplicates) computed as Spark joins:
+counting duplicates) over cells, without a table of point pairs:
 
 1. identical scaled points are merged into one weighted point;
 2. hour and cause rank are discrete, so a point's non-spatial part is one of at
    most 24 × (distinct ranks) *slices*; two slices can only hold neighbours when
    their fixed non-spatial distance is below eps — that slice-pair table is
    bounded by the slice domain (proven size) and broadcast;
-3. candidates are an equi-join on (spatial cell of side eps, slice) after each
-   point is replicated to its 9 neighbouring cells × neighbouring slices — only
-   points that can be within eps meet, never all pairs of a group;
-4. core points (weighted neighbour count ≥ min_samples) of one slice inside
-   one spatial cell of side eps/√2 are pairwise within eps, so each such clique
-   becomes one graph node; connected components of the (deduplicated) node
-   graph by min-label propagation with pointer jumping, the label table
-   materialised every round (lineage cut, executor-loss safe);
-5. border points join the smallest adjacent cluster; clusters below
+3. a cell is a slice and a square of side eps/√2, so all its points are neighbours:
+   a cell of weight ``min_samples`` holds core points only, whatever its size.
+   Cells that can hold neighbours (at most 25 squares per slice pair) are paired by an
+   equi-join and kept if their tight boxes come within eps;
+4. points of lighter cells (fewer than ``min_samples`` each) sum the weights of the cells that
+   lie wholly within eps, and look at single points only of cells that the eps-ball
+   cuts, and only while undecided: rows grow with the points, not with their square;
+5. two cells are linked when some core point of one is within eps of one of the other.
+   Boxes decide most; undecided pairs of cells, if not connected otherwise, are split
+   into sub-boxes until one pair is near enough or none can be (a closest pair by
+   refinement, down to single points).  Components are found over linked cells;
+6. border points join the smallest adjacent cluster; clusters below
    ``min_cluster_size`` events become noise (−1).
 
 Cluster ids are the smallest member event id (stable, no global ranking).
@@ -32,7 +35,9 @@ from pyspark.sql import functions as F
 from roadpulse import config as C
 from roadpulse.config import DEFAULT, EngineConfig
 from roadpulse.operators.features import literal_map
-from roadpulse.session import materialize
+from roadpulse.operators.graph import components
+from roadpulse.operators.hdbscan import hdbscan
+from roadpulse.session import materialize, spread
 
 NOISE = "-1"
 _AXES = ["lat", "lng", "hsin", "hcos", "rank"]
@@ -72,97 +77,207 @@ def scale(points: DataFrame, stats: DataFrame, spatial_weight: float = 1.0) -> D
     return j.select("id", "hour", "rank", *cols)
 
 
+_SPACE = ("z_lat", "z_lng")
+_REST = ("z_hsin", "z_hcos", "z_rank")
+_CELL = ["hour", "rank", "fx", "fy"]
+_BOX = ["x0", "x1", "y0", "y1"]
+_SPLIT = 4  # a box is split into 4 x 4 sub-boxes at a time
+_MARGIN = 1e-12  # boxes decide only what rounding cannot change
+
+
+def _box() -> list:
+    lat, lng = _SPACE
+    return [F.min(lat).alias("x0"), F.max(lat).alias("x1"), F.min(lng).alias("y0"), F.max(lng).alias("y1")]
+
+
+def _nearest2(a: str, b: str):
+    """Least squared spatial distance between two boxes."""
+    gap = lambda lo, hi: F.greatest(F.col(f"{b}{lo}") - F.col(f"{a}{hi}"), F.col(f"{a}{lo}") - F.col(f"{b}{hi}"), F.lit(0.0))
+    return gap("x0", "x1") ** 2 + gap("y0", "y1") ** 2
+
+
+def _farthest2(a: str, b: str):
+    """Largest squared spatial distance between two boxes."""
+    span = lambda lo, hi: F.greatest(F.col(f"{b}{hi}") - F.col(f"{a}{lo}"), F.col(f"{a}{hi}") - F.col(f"{b}{lo}"))
+    return span("x0", "x1") ** 2 + span("y0", "y1") ** 2
+
+
+def _named(df: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in cols])
+
+
+def _as_box(prefix: str) -> dict:
+    """A single point as a box."""
+    lat, lng = (F.col(f"{prefix}{c}") for c in _SPACE)
+    return {f"{prefix}x0": lat, f"{prefix}x1": lat, f"{prefix}y0": lng, f"{prefix}y1": lng}
+
+
+def _point_distance2(a: str, b: str):
+    return sum((F.col(f"{a}{c}") - F.col(f"{b}{c}")) ** 2 for c in (*_SPACE, *_REST))
+
+
+def _linked_cells(nodes: DataFrame, pairs: DataFrame, core: DataFrame, eps: float, side: float) -> DataFrame:
+    """Rows (node, label): cells with core points, and the smallest node of those they are connected to.
+
+    ``pairs``: candidate cell pairs with the squared distance ``dns2`` of their slices.
+    """
+    near, far = _nearest2("a_", "b_") + F.col("dns2"), _farthest2("a_", "b_") + F.col("dns2")
+    sure, can = far <= eps * eps * (1 - _MARGIN), near <= eps * eps * (1 + _MARGIN)
+    cols = ["node", *_CELL, *_BOX]
+    met = (
+        pairs.join(_named(nodes, "a_", cols), [f"a_{c}" for c in _CELL])
+        .join(_named(nodes, "b_", cols), [f"b_{c}" for c in _CELL])
+        .where("a_node < b_node").where(can)
+        .select("a_node", "b_node", "dns2", sure.alias("sure"))
+    )
+    met = materialize(met, "dbscan-cell-pairs")
+    label = components(met.where("sure"), "a_node", "b_node")
+    label = materialize(
+        nodes.select("node").join(label, "node", "left").select("node", F.coalesce("root", "node").alias("label")), "dbscan-cell-labels"
+    )
+    own = lambda p: label.select(F.col("node").alias(f"{p}node"), F.col("label").alias(f"{p}label"))
+    open_ = (
+        met.where("not sure").join(own("a_"), "a_node").join(own("b_"), "b_node").where("a_label <> b_label")
+        .select("a_node", "b_node", "dns2", F.least("a_label", "b_label").alias("la"), F.greatest("a_label", "b_label").alias("lb"),
+                *[F.lit(0).cast("bigint").alias(f"{p}{c}") for p in ("a_", "b_") for c in ("sx", "sy")])
+    )
+    open_ = materialize(open_, "dbscan-open")
+    found, depth = [], 0
+    while open_.limit(1).count():
+        depth += 1
+        asked = open_.select(F.explode(F.array("a_node", "b_node")).alias("node")).distinct()
+        cut = side / _SPLIT ** depth
+        sub = lambda c: F.floor(F.col(c) / F.lit(cut)).cast("bigint")
+        up = lambda c: F.floor(F.col(c) / F.lit(cut * _SPLIT)).cast("bigint") if depth > 1 else F.lit(0).cast("bigint")
+        boxes = (
+            core.join(asked, "node", "left_semi")
+            .groupBy("node", up("z_lat").alias("ux"), up("z_lng").alias("uy"), sub("z_lat").alias("sx"), sub("z_lng").alias("sy"))
+            .agg(*_box())
+        )
+        cols = ["node", "ux", "uy", "sx", "sy", *_BOX]
+        step = open_.withColumnsRenamed({f"{p}{o}": f"{p}{n}" for p in ("a_", "b_") for o, n in (("sx", "ux"), ("sy", "uy"))})
+        for p in ("a_", "b_"):
+            step = step.join(_named(boxes, p, cols), [f"{p}{c}" for c in ("node", "ux", "uy")])
+        single = F.lit(True)
+        for p in ("a_", "b_"):
+            for lo, hi in (("x0", "x1"), ("y0", "y1")):
+                single = single & (F.col(f"{p}{lo}") == F.col(f"{p}{hi}"))
+        link = F.when(single, near <= eps * eps).otherwise(sure)
+        step = step.where(can & (link | ~single)).select(
+            "a_node", "b_node", "dns2", "la", "lb", *[f"{p}{c}" for p in ("a_", "b_") for c in ("sx", "sy")], link.alias("link")
+        )
+        step = materialize(step, "dbscan-split")
+        new = materialize(step.where("link").select("la", "lb").distinct(), "dbscan-found")
+        found.append(new)
+        open_ = materialize(step.where("not link").drop("link").join(new, ["la", "lb"], "left_anti"), "dbscan-open")
+    if not found:
+        return label
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
+    top = components(links, "la", "lb").withColumnRenamed("node", "label")
+    return materialize(label.join(top, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "dbscan-cell-labels")
+
+
 def dbscan(df: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
     """K2: ``(id, cluster_id)`` with ``-1`` for noise."""
     eps, min_samples, min_size = cfg.dbscan_eps, cfg.dbscan_min_samples, cfg.min_cluster_size
+    side = eps / math.sqrt(2.0)
     pts = cluster_inputs(df)
     z = scale(pts, scaler_stats(pts), cfg.spatial_weight)
     z = materialize(z, "dbscan-scaled")
 
-    # 1. weighted distinct points
-    key = ["z_lat", "z_lng", "hour", "rank", "z_hsin", "z_hcos", "z_rank"]
+    # 1. weighted distinct points and their cells
+    key = [*_SPACE, "hour", "rank", *_REST]
     wp = z.groupBy(*key).agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("pid"))
-    wp = wp.withColumns({"cx": F.floor(F.col("z_lat") / eps), "cy": F.floor(F.col("z_lng") / eps)})
-    wp = materialize(wp, "dbscan-points")
+    wp = materialize(wp.withColumns({f: F.floor(F.col(c) / side) for f, c in zip(("fx", "fy"), _SPACE)}), "dbscan-points")
+    cells = materialize(wp.groupBy(*_CELL).agg(F.sum("w").alias("cw"), *_box()), "dbscan-cells")
 
     # 2. slice pairs within eps on the non-spatial axes (bounded: hours x ranks squared)
-    sl = wp.select("hour", "rank", "z_hsin", "z_hcos", "z_rank").distinct()
+    sl = wp.select("hour", "rank", *_REST).distinct()
     a, b = sl.alias("a"), sl.alias("b")
-    dns2 = (
-        (F.col("a.z_hsin") - F.col("b.z_hsin")) ** 2 + (F.col("a.z_hcos") - F.col("b.z_hcos")) ** 2
-        + (F.col("a.z_rank") - F.col("b.z_rank")) ** 2
-    )
-    pairs = a.join(F.broadcast(b), dns2 <= eps * eps).select(
-        F.col("a.hour").alias("hour"), F.col("a.rank").alias("rank"),
-        F.col("b.hour").alias("n_hour"), F.col("b.rank").alias("n_rank"),
+    dns2 = sum((F.col(f"a.{c}") - F.col(f"b.{c}")) ** 2 for c in _REST)
+    slices = a.join(F.broadcast(b), dns2 <= eps * eps).select(
+        F.col("a.hour").alias("a_hour"), F.col("a.rank").alias("a_rank"),
+        F.col("b.hour").alias("b_hour"), F.col("b.rank").alias("b_rank"), dns2.alias("dns2"),
     )
 
-    # 3. candidates: replicate each point to neighbouring cells and slices, equi-join
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    probe = (
-        wp.select("pid", "cx", "cy", "hour", "rank", "z_lat", "z_lng", "z_hsin", "z_hcos", "z_rank")
-        .join(F.broadcast(pairs), ["hour", "rank"], "inner")
-        .select("*", F.explode(offsets).alias("o"))
-        .select(
-            F.col("pid").alias("p"), (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"),
-            F.col("n_hour").alias("hour"), F.col("n_rank").alias("rank"),
-            *[F.col(f"z_{x}").alias(f"p_{x}") for x in _AXES],
-        )
-    )
-    target = wp.select(F.col("pid").alias("q"), "cx", "cy", "hour", "rank", "w", *[F.col(f"z_{x}").alias(f"q_{x}") for x in _AXES])
-    d2 = sum((F.col(f"p_{x}") - F.col(f"q_{x}")) ** 2 for x in _AXES)
-    edges = probe.join(target, ["cx", "cy", "hour", "rank"], "inner").where(d2 <= eps * eps).select("p", "q", "w")
-    edges = materialize(edges, "dbscan-edges")
-
-    # 4. core points; core points of one slice inside one spatial cell of side eps/sqrt(2)
-    #    are pairwise within eps (a clique), so each such group is one graph node
-    weight = edges.groupBy("p").agg(F.sum("w").alias("nw"))
-    core = weight.where(F.col("nw") >= min_samples).select(F.col("p").alias("c"))
-    fine = eps / math.sqrt(2.0)
-    node_of = (
-        wp.join(core.withColumnRenamed("c", "pid"), "pid", "left_semi")
-        .withColumns({"fx": F.floor(F.col("z_lat") / fine), "fy": F.floor(F.col("z_lng") / fine)})
+    # 3. pairs of cells whose boxes come within eps
+    around = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in range(-2, 3) for dy in range(-2, 3)])
+    near, far = _nearest2("a_", "b_") + F.col("dns2"), _farthest2("a_", "b_") + F.col("dns2")
+    pairs = (
+        spread(_named(cells, "a_", [*_CELL, "cw", *_BOX])).join(F.broadcast(slices), ["a_hour", "a_rank"])
+        .select("*", F.explode(around).alias("o"))
+        .withColumns({"b_fx": F.col("a_fx") + F.col("o.dx"), "b_fy": F.col("a_fy") + F.col("o.dy")}).drop("o")
+        .join(_named(cells, "b_", [*_CELL, "cw", *_BOX]), [f"b_{c}" for c in _CELL])
+        .where(near <= eps * eps * (1 + _MARGIN))
+    )
+    pairs = materialize(pairs, "dbscan-near-cells")
+
+    # 4. core points of light cells: whole cells by weight, cut cells by their points
+    cell_of = ["a_hour", "a_rank", "a_fx", "a_fy"]
+    light = (
+        _named(wp, "a_", ["pid", *_CELL, *_SPACE, *_REST])
+        .join(pairs.where(F.col("a_cw") < min_samples).drop(*[f"a_{c}" for c in _BOX]), cell_of)
+        .withColumns(_as_box("a_"))
     )
-    node_id = node_of.groupBy("hour", "rank", "fx", "fy").agg(F.min("pid").alias("node"))
-    node_of = materialize(node_of.join(node_id, ["hour", "rank", "fx", "fy"]).select("pid", "node"), "dbscan-nodes")
-    cc = (
-        edges.join(node_of.select(F.col("pid").alias("p"), F.col("node").alias("np")), "p")
-        .join(node_of.select(F.col("pid").alias("q"), F.col("node").alias("nq")), "q")
-        .select(F.col("np").alias("p"), F.col("nq").alias("q"))
-        .distinct()
+    inside = far <= eps * eps * (1 - _MARGIN)
+    light = light.where(near <= eps * eps * (1 + _MARGIN)).select("*", inside.alias("inside"))
+    sums = materialize(
+        light.where("inside").groupBy("a_pid").agg(F.sum("b_cw").alias("nw")), "dbscan-light"  # the point's own cell is one of them
     )
-    cc = materialize(cc, "dbscan-node-edges")
-    labels = materialize(cc.groupBy("p").agg(F.min("q").alias("l")), "dbscan-labels")
-    while True:  # until no label changes
-        # one hop: smallest label among neighbours
-        hop = cc.join(labels.withColumnRenamed("p", "q").withColumnRenamed("l", "lq"), "q").groupBy("p").agg(F.min("lq").alias("l1"))
-        # pointer jumping: follow the label's own label
-        jumped = hop.join(labels.select(F.col("p").alias("l1"), F.col("l").alias("l2")), "l1", "left").select(
-            "p", F.least(F.col("l1"), F.coalesce(F.col("l2"), F.col("l1"))).alias("l")
-        )
-        new = materialize(jumped, "dbscan-labels")
-        changed = new.join(labels.withColumnRenamed("l", "old"), "p").where(F.col("l") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
-            break
-    # node labels back to core points
-    labels = node_of.join(labels.withColumnRenamed("p", "node"), "node").select(F.col("pid").alias("p"), "l")
-
-    # 5. border points: smallest label of an adjacent core point
-    border = (
-        edges.join(core.withColumnRenamed("c", "q"), "q", "left_semi")
-        .join(labels.withColumnRenamed("p", "q"), "q")
-        .join(core.withColumnRenamed("c", "p"), "p", "left_anti")
-        .groupBy("p").agg(F.min("l").alias("l"))
+    target = _named(wp, "b_", ["pid", "w", *_CELL, *_SPACE, *_REST])
+    cut = (
+        light.where("not inside").join(sums.where(F.col("nw") < min_samples), "a_pid")
+        .join(target, [f"b_{c}" for c in _CELL]).where(_point_distance2("a_", "b_") <= eps * eps)
+        .groupBy("a_pid").agg(F.sum("b_w").alias("more"))
+    )
+    light_core = (
+        sums.join(cut, "a_pid", "left").where(F.col("nw") + F.coalesce("more", F.lit(0)) >= min_samples).select(F.col("a_pid").alias("pid"))
     )
-    point_label = labels.unionByName(border)
+    heavy = cells.where(F.col("cw") >= min_samples).select(*_CELL)
+    core = wp.join(heavy, _CELL, "left_semi").unionByName(wp.join(light_core, "pid", "left_semi").select(*wp.columns))
+    core = materialize(core, "dbscan-core")
+
+    # 5. a cell's core points are one node, named by the smallest of them
+    nodes = materialize(core.groupBy(*_CELL).agg(F.min("pid").alias("node"), *_box()), "dbscan-nodes")
+    ends = pairs.select(*[f"{p}{c}" for p in ("a_", "b_") for c in _CELL], "dns2")
+    label = _linked_cells(nodes, ends, core.join(nodes.select(*_CELL, "node"), _CELL), eps, side)
+    labelled = materialize(nodes.join(label, "node").select(*_CELL, *_BOX, "label"), "dbscan-node-labels")
+
+    # 6. border points: the smallest label among core points within eps
+    edge = (
+        _named(wp, "a_", ["pid", *_CELL, *_SPACE, *_REST])
+        .join(core.select(F.col("pid").alias("a_pid")), "a_pid", "left_anti")
+        .join(ends, cell_of)
+        .join(_named(labelled, "b_", [*_CELL, *_BOX, "label"]), [f"b_{c}" for c in _CELL])
+        .withColumns(_as_box("a_")).where(near <= eps * eps * (1 + _MARGIN))
+        .groupBy("a_pid", *[f"a_{c}" for c in (*_SPACE, *_REST)])
+        .agg(F.min(F.when(inside, F.col("b_label"))).alias("sure"),
+             F.collect_list(F.when(~inside, F.struct(*[F.col(f"b_{c}") for c in _CELL], F.col("b_label").alias("label")))).alias("cut"))
+    )
+    edge = materialize(edge, "dbscan-border")
+    seen = (
+        edge.select("*", F.explode("cut").alias("o")).where(F.col("sure").isNull() | (F.col("o.label") < F.col("sure"))).select("*", "o.*")
+        .join(_named(core, "b_", [*_CELL, *_SPACE, *_REST]), [f"b_{c}" for c in _CELL])
+        .where(_point_distance2("a_", "b_") <= eps * eps).groupBy("a_pid").agg(F.min("label").alias("cut_label"))
+    )
+    border = edge.join(seen, "a_pid", "left").select(F.col("a_pid").alias("pid"), F.least("sure", "cut_label").alias("l"))
+    point_label = core.join(labelled, _CELL).select("pid", F.col("label").alias("l")).unionByName(border)
     ev = z.select("id", *key).join(wp.select(*key, "pid"), key, "inner").select("id", "pid")
-    lab = ev.join(point_label.withColumnRenamed("p", "pid"), "pid", "left")
+    lab = ev.join(point_label, "pid", "left")
     sizes = lab.where(F.col("l").isNotNull()).groupBy("l").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("cid"))
     out = lab.join(sizes.where(F.col("size") >= min_size), "l", "left")
     return out.select("id", F.coalesce(F.col("cid"), F.lit(NOISE)).alias("cluster_id"))
 
 
+def hdbscan_clusters(df: DataFrame, cfg: EngineConfig = DEFAULT, min_cluster_size: int = 15) -> DataFrame:
+    """K2, hierarchical: ``(id, cluster_id)`` by HDBSCAN over the same scaled features, ``-1`` for noise."""
+    pts = cluster_inputs(df)
+    z = scale(pts, scaler_stats(pts), cfg.spatial_weight)
+    return hdbscan(z, [f"z_{a}" for a in _AXES], min_cluster_size, cfg.dbscan_min_samples)
+
+
 def _mode(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     counts = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
     return counts.groupBy(key).agg(F.min_by(F.col(value), F.struct(-F.col("_n"), F.col(value))).alias(name))

@@ -47,6 +47,13 @@ def k2(spark, sf_dir):
     return lab.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
 
 
+@register("k2_hdbscan_clusters")
+def k2h(spark, sf_dir):
+    """Sizes of the hierarchical clusters (noise as -1)."""
+    lab = K.hdbscan_clusters(load_scored(spark, sf_dir))
+    return lab.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+
+
 @register("k3_cluster_stats")
 def k3(spark, sf_dir):
     s, lab = _clusters(spark, sf_dir)

@@ -72,3 +72,12 @@ def materialize(df, name: str = "table"):
     path = os.path.join(checkpoint_dir(spark), "roadpulse", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df):
+    """Rows dealt evenly over as many tasks as a shuffle has, before a step that makes many rows of each.
+
+    Adaptive execution sizes partitions by what it reads, so a small table that is about to
+    be expanded would otherwise be expanded by one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
