@@ -36,3 +36,25 @@ def test_prefix_before_strict(spark):
     out = prefix_before(df, "s", ["c"], buckets=8).collect()
     for r in out:
         assert r.c_before == sum(1 for x, _ in rows if x < r.s)
+
+
+def test_buckets_hold_equal_shares_under_heavy_tails(spark):
+    """One outlier of 1e12 and a heavy tail: the largest bucket stays within twice the mean, and quantiles are exact."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from roadpulse.operators.quantiles import exact_quantiles, prefix_before, rank_buckets
+
+    rng = np.random.default_rng(5)
+    values = np.r_[rng.pareto(0.7, 20000), -rng.pareto(1.1, 5000), 1e12]
+    df = spark.createDataFrame([(int(i % 3 == 0), float(v)) for i, v in enumerate(values)], "g int, v double").repartition(5)
+    sizes = [r["count"] for r in rank_buckets(df, "v", "b", 256).groupBy("b").count().collect()]
+    assert max(sizes) <= 2 * len(values) / 256 and len(sizes) >= 200
+    got = exact_quantiles(df, "v", [0.1, 0.5, 0.99], ["g"], buckets=64).collect()
+    for r in got:
+        own = values[[int(i % 3 == 0) == r.g for i in range(len(values))]]
+        assert np.allclose([r.q10, r.q50, r.q99], np.quantile(own, [0.1, 0.5, 0.99]), rtol=1e-12)
+    few = df.withColumn("one", F.lit(1)).withColumn("v", F.round("v", 1))
+    before = {r.v: r.one_before for r in prefix_before(few.groupBy("v").agg(F.sum("one").alias("one")), "v", ["one"], 64).collect()}
+    rounded = np.array([r.v for r in few.select("v").collect()])
+    assert all(before[v] == (rounded < v).sum() for v in list(before)[:200])
