@@ -36,9 +36,37 @@ def prediction_log(scored: DataFrame, logged_at=None) -> DataFrame:
     )
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    """F1 sink: append-only parquet, partitioned by log date for pruning."""
-    (log.withColumn("log_date", F.to_date("logged_at")).write.mode("append").partitionBy("log_date").parquet(path))
+def append_batch(rows: DataFrame, path: str, batch: str) -> int:
+    """F1 sink: adds ``rows`` to the table at ``path`` as the batch of that name; the same batch again replaces itself.
+
+    A batch counts from the moment its line stands in the manifest, so a half-written one is
+    never read, and a job that is run again after a failure leaves one copy.  Returns its rows.
+    """
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(f"{path}/data/batch={batch}")
+    n = spark.read.parquet(f"{path}/data/batch={batch}").count()
+    line = spark.createDataFrame([(n,)], "rows long").withColumn("appended_at", F.current_timestamp())
+    line.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/batch={batch}")
+    return n
+
+
+def read_batches(spark, path: str) -> DataFrame:
+    """The rows of all complete batches at ``path``."""
+    text = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in text}
+    for k, v in text.items():  # batch names stay text
+        spark.conf.set(k, v)
+    try:
+        data, manifest = spark.read.parquet(f"{path}/data"), spark.read.parquet(f"{path}/manifest")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return data.join(manifest.select("batch"), "batch", "left_semi").drop("batch")
+
+
+def read_log(spark, path: str, actuals_path: str) -> DataFrame:
+    """F2 on read: the prediction log with the latest actual of each event among all actuals appended so far."""
+    return update_actuals(read_batches(spark, path), read_batches(spark, actuals_path))
 
 
 def update_actuals(log: DataFrame, actuals: DataFrame) -> DataFrame:

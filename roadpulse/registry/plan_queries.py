@@ -4,6 +4,7 @@ and the diverse sample (M9), all over the scored binding with pseudo-predictions
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from roadpulse.operators import feedback as FB
 from roadpulse.operators.features import split_condition
 from roadpulse.plans import deployment as R
 from roadpulse.registry.common import TEST_SPLIT_DATE, i64, load_scored, r6, register, with_scored
+from roadpulse.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # DuckDB plan CTE
@@ -280,6 +282,28 @@ def f2(spark, sf_dir):
     )
 
 
+@register(
+    "f2_log_batches",
+    with_scored(
+        f"""SELECT id AS event_id, {r6('duration_p50')} AS predicted_duration_hours,
+  {r6('CASE WHEN closed_datetime_combined > created_date THEN resolution_hours END')} AS actual_duration_hours,
+  priority AS actual_severity, {i64('road_closure_binary')} AS actual_closure
+FROM sc"""
+    ),
+)
+def f2b(spark, sf_dir):
+    """The log kept in batches, one of them appended twice, and read with the actuals appended since."""
+    log, actuals = _log_and_actuals(load_scored(spark, sf_dir))
+    base = f"{checkpoint_dir(spark)}/roadpulse/log-{uuid.uuid4().hex}"
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for name, part in (("0", 0), ("1", 1), ("0", 0)):
+        FB.append_batch(log.where(half == part), f"{base}/predictions", name)
+        FB.append_batch(actuals.where(half == part), f"{base}/actuals", name)
+    return FB.read_log(spark, f"{base}/predictions", f"{base}/actuals").select(
+        "event_id", "predicted_duration_hours", "actual_duration_hours", "actual_severity", "actual_closure"
+    )
+
+
 @register(
     "f3_severity_bias",
     with_scored(

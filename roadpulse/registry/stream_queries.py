@@ -86,18 +86,20 @@ def st3(spark, sf_dir):
     return S.run_available_now(plans, "st3")
 
 
-def _joined(spark, sf_dir):
+def _joined(spark, sf_dir, how="inner"):
     preds = with_pseudo_predictions(S.incident_stream(S.events_stream(spark, sf_dir), watermark=None, with_keys=True)).select(
         F.col("id").alias("pid"), F.col("start_datetime").alias("predicted_at"), "event_cause", "severity_proba", "duration_mean"
     )
     outs = S.incident_stream(S.events_stream(spark, sf_dir), watermark=None).where(F.col("closed_datetime_combined").isNotNull()).select(
         F.col("id").alias("oid"), F.col("closed_datetime_combined").alias("closed_at"), "resolution_hours", "priority_binary"
     )
-    j = S.prediction_outcome_join(preds, outs).select(
+    j = S.prediction_outcome_join(preds, outs, how=how).select(
         "pid", "predicted_at", "closed_at", "event_cause", "severity_proba", "duration_mean", "resolution_hours", "priority_binary"
     )
+    base = S.sink_dir(spark, "st4")
     with S.rocksdb_state(spark):
-        return S.run_available_now(j, "st4")
+        done = S.run_available_now(j, "st4", base=base)
+        return done.unionByName(S.open_predictions(spark, base, done)) if how == "left_outer" else done
 
 
 _ST4 = """SELECT * FROM sc WHERE closed_datetime_combined IS NOT NULL
@@ -115,6 +117,19 @@ def st4(spark, sf_dir):
     return _joined(spark, sf_dir).select("pid", "predicted_at", "closed_at", "severity_proba", "resolution_hours")
 
 
+@register(
+    "st4_outer_join",
+    with_scored(
+        f"""SELECT id AS pid, {ts_txt('start_datetime')} AS predicted_at, CASE WHEN met THEN {ts_txt('closed_datetime_combined')} END AS closed_at,
+  {r6('severity_proba')} AS severity_proba, CASE WHEN met THEN {r6('resolution_hours')} END AS resolution_hours
+FROM (SELECT *, closed_datetime_combined >= start_datetime AND closed_datetime_combined <= start_datetime + INTERVAL 720 HOUR AS met FROM sc)"""
+    ),
+)
+def st4o(spark, sf_dir):
+    """Every prediction, with its outcome or without."""
+    return _joined(spark, sf_dir, "left_outer").select("pid", "predicted_at", "closed_at", "severity_proba", "resolution_hours")
+
+
 @register(
     "st4_bias_rollup",
     with_scored(

@@ -102,8 +102,12 @@ def rocksdb_state(spark: SparkSession):
             spark.conf.set(STATE_STORE, before)
 
 
-def prediction_outcome_join(predictions: DataFrame, outcomes: DataFrame, horizon_hours: int = 720) -> DataFrame:
-    """ST4: each prediction with its outcome closed within ``horizon_hours`` (interval join, bounded state)."""
+def prediction_outcome_join(predictions: DataFrame, outcomes: DataFrame, horizon_hours: int = 720, how: str = "inner") -> DataFrame:
+    """ST4: each prediction with its outcome closed within ``horizon_hours`` (interval join, bounded state).
+
+    With ``how="left_outer"`` a prediction without an outcome leaves with nulls once the watermark
+    has passed its horizon; what is still waiting when a bounded input ends is :func:`open_predictions`.
+    """
     p = predictions.withWatermark("predicted_at", f"{horizon_hours} hours").alias("p")
     o = outcomes.withWatermark("closed_at", f"{horizon_hours} hours").alias("o")
     cond = (
@@ -111,7 +115,7 @@ def prediction_outcome_join(predictions: DataFrame, outcomes: DataFrame, horizon
         & (F.col("o.closed_at") >= F.col("p.predicted_at"))
         & (F.col("o.closed_at") <= F.col("p.predicted_at") + F.expr(f"INTERVAL {horizon_hours} HOURS"))
     )
-    return p.join(o, cond, "inner")
+    return p.join(o, cond, how)
 
 
 def sink_dir(spark: SparkSession, name: str) -> str:
@@ -147,13 +151,36 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append", keep_lates
     return out
 
 
+def stateful_operator(spark: SparkSession, base: str, name: str) -> int:
+    """The number of the one stateful operator called ``name`` of the stream that was drained into ``base``."""
+    meta = spark.read.format("state-metadata").load(os.path.join(base, "_checkpoint"))
+    found = [r[0] for r in meta.where(F.col("operatorName") == name).select("operatorId").distinct().collect()]
+    if len(found) != 1:
+        raise ValueError(f"expected one operator {name} in the state of {base}, found {len(found)}")
+    return found[0]
+
+
 def open_sessions(spark: SparkSession, base: str) -> DataFrame:
     """ST2: the sessions that a drained stream into ``base`` still holds in its state, in the form of its sink.
 
     At the end of a bounded input nothing can extend them; with them no incident is left out.
     """
-    state = spark.read.format("statestore").option("operatorId", 0).load(os.path.join(base, "_checkpoint"))
+    number = stateful_operator(spark, base, "sessionWindowStateStoreSaveExec")
+    state = spark.read.format("statestore").option("operatorId", number).load(os.path.join(base, "_checkpoint"))
     return state.select(
         F.col("value.session_window.start").alias("window_start"), F.col("value.session_window.end").alias("window_end"),
         "value.corridor", F.col("value.count").alias("events"),
     )
+
+
+def open_predictions(spark: SparkSession, base: str, sink: DataFrame, key: str = "pid") -> DataFrame:
+    """ST4: predictions that a drained left-outer join into ``base`` still holds without an outcome, in the form of ``sink``.
+
+    The state also keeps predictions that have met their outcome, until the watermark passes them; the
+    sink has those.  With these rows the sink holds every prediction, as a batch left join does.
+    """
+    number = stateful_operator(spark, base, "symmetricHashJoin")
+    state = spark.read.format("statestore").option("operatorId", number).option("joinSide", "left").load(os.path.join(base, "_checkpoint"))
+    held = state.select("value.*")
+    cols = [F.col(c) if c in held.columns else F.lit(None).cast(sink.schema[c].dataType).alias(c) for c in sink.columns]
+    return held.select(*cols).join(sink.select(key), key, "left_anti").select(*sink.columns)
