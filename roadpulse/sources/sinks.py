@@ -3,13 +3,11 @@
 * S3: the clean table as parquet partitioned by local start date, rows sorted
   within each file by start (``sortWithinPartitions``, no global sort).
 * S4: report tables as JSON, read back with an explicit schema.
-* S5: fitted feature state as parquet tables (see ``FeatureModel.save/load``)
-  and Spark ML pipelines through their own writers.
+* S5: fitted feature state and models are saved by :mod:`roadpulse.operators.bundle`.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,12 +47,3 @@ def write_report(tables: dict[str, DataFrame], path: str) -> None:
 
 def read_report(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(T._parse_datatype_string(REPORT_SCHEMAS[name])).json(f"{path}/{name}")
-
-
-def save_pipeline(model: PipelineModel, path: str) -> None:
-    """Spark ML pipeline (trees, imputer, assembler) with its native writer."""
-    model.write().overwrite().save(path)
-
-
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)

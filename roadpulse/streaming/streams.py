@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from roadpulse.operators.clean import clean_incidents
 from roadpulse.operators.features import profile_features, spatial_features, temporal_features
 from roadpulse.plans.deployment import recommend
-from roadpulse.session import checkpoint_dir
+from roadpulse.session import checkpoint_dir, materialize
 from roadpulse.sources.incidents import incidents_from_events, with_pseudo_predictions
 
 
@@ -151,6 +151,24 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append", keep_lates
     return out
 
 
+def run_scored(clean: DataFrame, scorer: Callable[[DataFrame], DataFrame], base: str) -> DataFrame:
+    """ST3 with fitted models: each micro-batch of clean incidents is scored by ``scorer`` and written to ``base``.
+
+    Scoring needs joins with itself (look-back counts), so it is a batch job per micro-batch; a batch
+    that is run again after a failure replaces its rows.  A :class:`~roadpulse.operators.bundle.BundleScorer`
+    takes up a newly saved version with the next micro-batch.
+    """
+    spark, data = clean.sparkSession, os.path.join(base, "data")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = materialize(batch, "stream-batch")
+        scorer(rows).write.mode("overwrite").parquet(f"{data}/_batch={batch_id}")
+
+    q = clean.writeStream.foreachBatch(write_batch).option("checkpointLocation", os.path.join(base, "_checkpoint"))
+    q.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(data)
+
+
 def stateful_operator(spark: SparkSession, base: str, name: str) -> int:
     """The number of the one stateful operator called ``name`` of the stream that was drained into ``base``."""
     meta = spark.read.format("state-metadata").load(os.path.join(base, "_checkpoint"))
