@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse import config as C
+from roadpulse.sources.csv_split import read_csv_split
 
 _DOUBLE_RAW = {"latitude", "longitude"}
 
@@ -28,17 +29,12 @@ NULL_TOKENS = ["", "NULL", "NA", "N/A", "NaN", "nan", "null", "None", "<NA>", "#
 
 
 def read_incidents_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw incident CSV with the 46-column contract; bad rows kept in ``_corrupt_record``."""
-    df = (
-        spark.read.schema(RAW_SCHEMA)
-        .option("header", "true")
-        .option("multiLine", "true")
-        .option("escape", '"')
-        .option("nullValue", "NULL")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .csv(path)
-    )
+    """Raw incident CSV with the 46-column contract; bad rows kept in ``_corrupt_record``.
+
+    A file is read by as many tasks as it has splits, line ends inside quoted fields included.
+    """
+    options = {"nullValue": "NULL", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    df = read_csv_split(spark, path, RAW_SCHEMA, options)
     # One nullValue is all the reader takes; the other missing-value tokens become null here.
     fixed = [
         F.when(F.col(c).isin(NULL_TOKENS), F.lit(None)).otherwise(F.col(c)).alias(c)
