@@ -226,8 +226,18 @@ def savings_vs_naive(df: DataFrame) -> DataFrame:
     )
 
 
+def savings_rollup(df: DataFrame) -> DataFrame:
+    """Plans, naive cost and savings by cause, by corridor and in all (null keys: all of them), in one grouping-sets pass."""
+    keys = [F.col("event_cause"), F.col("corridor")]
+    total = df.groupingSets([[keys[0]], [keys[1]], []], *keys).agg(
+        F.count(F.lit(1)).alias("plans"), F.sum("naive_total_inr").alias("naive_total_inr"), F.sum("savings_inr").alias("savings_inr")
+    )
+    share = F.when(F.col("naive_total_inr") > 0, F.col("savings_inr") / F.col("naive_total_inr") * 100).otherwise(F.lit(0.0))
+    return total.withColumn("savings_pct", share)
+
+
 def affected_zone(df: DataFrame, points: int = 40) -> DataFrame:
-    """Radius by severity, escape legs by thresholds, and the closed outline (points+1 vertices)."""
+    """Radius by severity, escape legs by thresholds and where they end, and the closed outline (points+1 vertices)."""
     proba = F.coalesce(F.col("severity_proba"), F.lit(0.5))
     r = F.lit(0.002) + proba * F.lit(0.015)
     df = df.withColumn("zone_radius_deg", r)
@@ -238,6 +248,8 @@ def affected_zone(df: DataFrame, points: int = 40) -> DataFrame:
         F.when(proba >= 0.8, F.array(F.lit("Emergency Corridor (South)"))).otherwise(F.array().cast("array<string>")),
     )
     rad, lat, lng = F.col("zone_radius_deg"), F.col("latitude"), F.col("longitude")
+    # Where each leg leaves the zone: east, west, north, south, as many as there are legs.
+    ends = F.array(*[F.struct((lat + a * rad).alias("lat"), (lng + b * rad / F.lit(0.97)).alias("lng")) for a, b in ((0, 1), (0, -1), (1, 0), (-1, 0))])
     outline = F.transform(
         F.sequence(F.lit(0), F.lit(points)),
         lambda i: F.struct(
@@ -249,6 +261,7 @@ def affected_zone(df: DataFrame, points: int = 40) -> DataFrame:
         {
             "zone_radius_km": rad * 111,
             "escape_routes": legs,
+            "escape_ends": F.slice(ends, F.lit(1), F.size(legs)),
             "zone_outline": outline,
         }
     )

@@ -15,8 +15,9 @@ from roadpulse.operators import evaluate as V
 from roadpulse.operators import feedback as FB
 from roadpulse.operators.features import split_condition
 from roadpulse.plans import deployment as R
+from roadpulse.plans.zones import zone_counts
 from roadpulse.registry.common import TEST_SPLIT_DATE, i64, load_scored, r6, register, with_scored
-from roadpulse.session import checkpoint_dir
+from roadpulse.session import checkpoint_dir, materialize
 
 # ---------------------------------------------------------------------------
 # DuckDB plan CTE
@@ -210,6 +211,21 @@ def r10(spark, sf_dir):
     return R.savings_vs_naive(R.recommend(load_scored(spark, sf_dir))).select("id", "naive_total_inr", "savings_inr", "savings_pct")
 
 
+@register(
+    "r10_savings_rollup",
+    with_scored(
+        f"""SELECT event_cause, corridor, CAST(count(*) AS BIGINT) AS plans, {r6('sum(naive_total_inr)')} AS naive_total_inr,
+  {r6('sum(s)')} AS savings_inr, {r6('CASE WHEN sum(naive_total_inr) > 0 THEN sum(s) / sum(naive_total_inr) * 100 ELSE 0.0e0 END')} AS savings_pct
+FROM (SELECT *, greatest(0.0e0, naive_total_inr - total_estimated_cost_inr) AS s FROM plf)
+GROUP BY GROUPING SETS ((event_cause), (corridor), ())""",
+        *plan_ctes(),
+    ),
+)
+def r10_rollup(spark, sf_dir):
+    """Savings by cause, by corridor and in all, from one pass over the plans."""
+    return R.savings_rollup(R.savings_vs_naive(R.recommend(load_scored(spark, sf_dir))))
+
+
 @register(
     "r11_affected_zone",
     with_scored(
@@ -232,6 +248,22 @@ def r11(spark, sf_dir):
     )
 
 
+@register(
+    "r11_zone_counts",
+    with_scored(
+        """SELECT a.id, CAST(count(b.id) AS BIGINT) AS incidents_inside
+FROM (SELECT id, latitude AS x, longitude * 0.97e0 AS y, 0.002e0 + severity_proba * 0.015e0 AS r FROM sc WHERE latitude IS NOT NULL AND longitude IS NOT NULL) a
+JOIN (SELECT id, latitude AS x, longitude * 0.97e0 AS y FROM sc) b
+  ON b.x BETWEEN a.x - 0.02e0 AND a.x + 0.02e0 AND (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) <= a.r * a.r
+GROUP BY a.id"""
+    ),
+)
+def r11_counts(spark, sf_dir):
+    """How many incidents lie in each incident's zone."""
+    zones = materialize(R.affected_zone(load_scored(spark, sf_dir)).select("id", "latitude", "longitude", "zone_radius_deg"), "zones")
+    return zone_counts(zones, zones)
+
+
 @register(
     "f1_prediction_log",
     with_scored(
@@ -412,6 +444,22 @@ def v1c(spark, sf_dir):
     return V.confusion(load_scored(spark, sf_dir), "road_closure_binary", "closure_needed")
 
 
+@register(
+    "v1_severity_classes",
+    with_scored(
+        """SELECT cls AS class, CAST(sum(CAST(y = cls AS INTEGER)) AS BIGINT) AS support,
+  round(CASE WHEN sum(CAST(p = cls AS INTEGER)) > 0 THEN sum(CAST(y = cls AND p = cls AS INTEGER)) / sum(CAST(p = cls AS INTEGER)) ELSE 0.0e0 END + 1e-9, 6) AS precision,
+  round(CASE WHEN sum(CAST(y = cls AS INTEGER)) > 0 THEN sum(CAST(y = cls AND p = cls AS INTEGER)) / sum(CAST(y = cls AS INTEGER)) ELSE 0.0e0 END + 1e-9, 6) AS recall,
+  round(CASE WHEN sum(CAST(y = cls AS INTEGER) + CAST(p = cls AS INTEGER)) > 0 THEN 2 * sum(CAST(y = cls AND p = cls AS INTEGER)) / sum(CAST(y = cls AS INTEGER) + CAST(p = cls AS INTEGER)) ELSE 0.0e0 END + 1e-9, 6) AS f1
+FROM (SELECT priority_binary AS y, CAST(severity_proba >= 0.5 AS INTEGER) AS p FROM sc) , (VALUES (0), (1)) c(cls) GROUP BY cls"""
+    ),
+)
+def v1_classes(spark, sf_dir):
+    """Precision, recall, F1 and support of each class."""
+    s = load_scored(spark, sf_dir).withColumn("_p", (F.col("severity_proba") >= 0.5).cast("int"))
+    return V.class_report(s, "priority_binary", "_p", [0, 1])
+
+
 def _auc_sql(label: str, score: str) -> str:
     return f"""SELECT {r6('sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg))')} AS roc_auc FROM (
   SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM (
@@ -504,7 +552,4 @@ _DIVERSE = ["public_event", "procession", "construction", "accident", "vehicle_b
 )
 def m9(spark, sf_dir):
     """First test event of each of five causes (by start, then id)."""
-    s = load_scored(spark, sf_dir)
-    test = s.where(~split_condition(TEST_SPLIT_DATE) & F.col("event_cause").isin(_DIVERSE))
-    first = F.min_by(F.col("id"), F.struct("start_datetime", "id"))
-    return test.groupBy("event_cause").agg(first.alias("id")).select("id", "event_cause")
+    return V.diverse_sample(load_scored(spark, sf_dir).where(~split_condition(TEST_SPLIT_DATE)), _DIVERSE).select("id", "event_cause")
