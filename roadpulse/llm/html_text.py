@@ -3,7 +3,9 @@
 A page is cut into blocks at block-level tags, whatever the nesting.  A block is told by
 its own, the previous and the next block's word count and link density, by the kind of
 its innermost marked container (boilerplate, main text or neither), and by being a
-heading or list item.  A decision tree trained on the small labelled table below
+heading or list item.  Tags, roles and names made of boilerplate words only mark a container.  A
+name that mixes them with other words is a hint: it counts at its first or last word, and not
+on a page where the containers of that name hold most of the unlinked words.  A decision tree trained on the small labelled table below
 decides which blocks are main text; its splits become one column expression over a
 page's array of blocks, so a page stays one row and nothing is shuffled.
 
@@ -31,7 +33,7 @@ BLOCK_TAGS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = BLOCK_TAGS - frozenset("p hr h1 h2 h3 h4 h5 h6 body html li dt dd td th tr".split())
-DROPPED = frozenset("script style noscript template head title svg math iframe object button select textarea option datalist audio video canvas".split())
+DROPPED = frozenset("script style noscript template head title svg annotation annotation-xml iframe object button select textarea option datalist audio video canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SPACED = frozenset("br img td th".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -48,6 +50,13 @@ BOILER_WORDS = frozenset(
 )
 MAIN_WORDS = frozenset("article articlebody body content entry main post story text".split())
 QUALIFIERS = frozenset("has no with without".split())  # what follows in a name tells of the page, not of the container
+STATES = frozenset("active aware disabled enabled free less off on optional ready removed required supported".split())  # so does what comes before
+PARTS = frozenset(  # words that name a container's shape or place
+    "area areas article articles author avatar bar block blocks body bottom box boxes btn button buttons card cards cell col column container "
+    "content cta entry form full group head heading icon icons img image inner item items js label left link links list logo main module outer "
+    "page panel post posts primary right row section secondary site slot small stories story text thread title top unit wrap wrapper zone".split()
+)
+MOST = 0.5  # share of a page's unlinked words from which a mixed name is no boilerplate
 SPLIT_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+").findall
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden").search
 
@@ -58,18 +67,21 @@ BLOCKS = "array<struct<text:string," + ",".join(f"{f}:double" for f in FEATURES)
 class Blocks(HTMLParser):
     """Collects (text, words, words in links, zone, heading, list item) of each block."""
 
-    def __init__(self):
+    def __init__(self, cleared: frozenset[str] = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.cleared = cleared  # mixed names that are no boilerplate on this page
+        self.hinted: list[tuple[int, int, set[str]]] = []  # of each block: unlinked words, zone without hints, mixed names around it
         self.blocks: list[tuple] = []
         self.text: list[str] = []
         self.linked: list[str] = []
-        self.open: list[tuple[str, int]] = []  # containers: tag, zone (-1 boilerplate, 0 as outside, 1 main, 2 hidden)
+        # containers: tag, zone (-1 boilerplate, 0 as outside, 1 main, 2 hidden), zone without hints, mixed names
+        self.open: list[tuple[str, int, int, tuple[str, ...]]] = []
         self.dropped: list[str] = []  # an open dropped tag, then the dropped tags and containers within it
         self.in_link = 0
         self.block_tag = ""
 
     def zone(self) -> int:
-        return next((z for _, z in reversed(self.open) if z), 0)
+        return next((c[1] for c in reversed(self.open) if c[1]), 0)
 
     def cut(self) -> None:
         text = " ".join("".join(self.text).split())
@@ -78,20 +90,39 @@ class Blocks(HTMLParser):
             words = len(text.split())
             linked = min(words, len("".join(self.linked).split()))
             self.blocks.append((text, words, linked, zone, self.block_tag in HEADINGS, self.block_tag in ITEMS))
+            names = {n for c in self.open for n in c[3]}
+            self.hinted.append((words - linked, next((c[2] for c in reversed(self.open) if c[2]), 0), names))
         self.text, self.linked = [], []
 
-    def mark(self, tag: str, attrs: dict) -> int:
+    def mark(self, tag: str, attrs: dict) -> tuple[int, int, tuple[str, ...]]:
+        """A container's zone, its zone without hints, and its mixed names."""
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN(attrs.get("style") or ""):
-            return 2
-        names = [[w.lower() for w in SPLIT_WORDS(n)] for k in ("class", "id") for n in (attrs.get(k) or "").split()]
-        words = {w for n in names for w in takewhile(lambda w: w not in QUALIFIERS, n)}
+            return 2, 2, ()
+        plain, mixed, words = set(), [], set()
+        for name in (n for k in ("class", "id") for n in (attrs.get(k) or "").split()):
+            own = [w.lower() for w in SPLIT_WORDS(name)]
+            if STATES & set(own[1:]):
+                continue
+            own = list(takewhile(lambda w: w not in QUALIFIERS, own))
+            words |= set(own)
+            if not BOILER_WORDS & set(own):
+                continue
+            if all(w in BOILER_WORDS or w in PARTS or len(w) == 1 for w in own):
+                plain |= BOILER_WORDS & set(own)
+            elif {own[0], own[-1]} & BOILER_WORDS:
+                mixed.append((name.lower(), BOILER_WORDS & set(own)))
+        kept = [w for n, w in mixed if n not in self.cleared]
+        with_hints = self.zone_of(tag, attrs, plain.union(*kept), words)
+        return with_hints, self.zone_of(tag, attrs, plain, words), tuple(n for n, _ in mixed)
+
+    def zone_of(self, tag: str, attrs: dict, boiler: set[str], words: set[str]) -> int:
         role = (attrs.get("role") or "").lower()
-        if tag == "header" and self.zone() == 1 and not words & BOILER_WORDS - {"header"}:
+        if tag == "header" and self.zone() == 1 and not boiler - {"header"}:
             return 0  # an article's own heading
         if tag in MAIN_TAGS or role in ("main", "article"):
             inner = self.zone() != 0 and tag != "main" and role != "main"  # a comment, say
-            return -1 if inner and words & BOILER_WORDS else 1
-        if tag in BOILER_TAGS or role in BOILER_ROLES or words & BOILER_WORDS:
+            return -1 if inner and boiler else 1
+        if tag in BOILER_TAGS or role in BOILER_ROLES or boiler:
             return -1
         return 1 if words & MAIN_WORDS else 0
 
@@ -116,7 +147,7 @@ class Blocks(HTMLParser):
             if tag in CONTAINERS or tag == "p" and attrs:
                 if tag == "p":  # ends where the next block starts
                     self.open = [c for c in self.open if c[0] != "p"]
-                self.open.append((tag, self.mark(tag, dict(attrs))))
+                self.open.append((tag, *self.mark(tag, dict(attrs))))
             elif self.open and self.open[-1][0] == "p":
                 self.open.pop()
 
@@ -135,7 +166,7 @@ class Blocks(HTMLParser):
                 while self.dropped.pop() != tag:
                     pass
                 return
-            if tag not in ("body", "html") and not any(t == tag for t, _ in self.open):
+            if tag not in ("body", "html") and not any(c[0] == tag for c in self.open):
                 return
             self.dropped = []  # never closed: it ends with the container around it
         if tag == "a":
@@ -144,7 +175,7 @@ class Blocks(HTMLParser):
             self.cut()
             self.in_link = 0
             self.block_tag = ""
-            if any(t == tag for t, _ in self.open):
+            if any(c[0] == tag for c in self.open):
                 while self.open.pop()[0] != tag:
                     pass
 
@@ -155,13 +186,26 @@ class Blocks(HTMLParser):
                 self.linked.append(data + " ")
 
 
-def blocks_of(html: str | None) -> list[dict]:
-    """A page's text blocks with their features, in order."""
-    parser = Blocks()
-    parser.feed(html or "")
+def parsed(html: str, cleared: frozenset[str] = frozenset()) -> Blocks:
+    parser = Blocks(cleared)
+    parser.feed(html)
     parser.close()
     parser.cut()
-    own = parser.blocks
+    return parser
+
+
+def blocks_of(html: str | None) -> list[dict]:
+    """A page's text blocks with their features, in order."""
+    parser = parsed(html or "")
+    held: dict[str, int] = {}
+    total = 0
+    for words, zone, names in parser.hinted:
+        if zone >= 0:
+            total += words
+            for n in names:
+                held[n] = held.get(n, 0) + words
+    cleared = frozenset(n for n, words in held.items() if words > MOST * total)
+    own = (parsed(html, cleared) if cleared else parser).blocks
     size = [(float(b[1]), b[2] / b[1]) for b in own]
     none = (0.0, 0.0)
     return [
