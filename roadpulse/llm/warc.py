@@ -7,8 +7,12 @@ so a task that runs again leaves at most an archive that nobody reads.
 
 Reading: a task walks through an archive from the start, decompresses a block at a time
 with one decompressor per gzip member, takes header lines up to the blank one, the
-content length's bytes, and the closing blank lines, and verifies block and payload
-digests.  Memory is bounded by one record, whatever the archive's size.
+content length's bytes, and the closing blank lines, and verifies the block and payload
+digests that the record has.  A payload is counted and digested from the block, an HTTP
+message's after its own headers; a length that the writer noted must agree.  A revisit holds no
+payload: its size and digest are those of its headers, null where it has none.  Digests, target
+and page id are optional, so archives of other writers, with warcinfo, request or metadata records,
+are read as well.  Memory is bounded by one record, whatever the archive's size.
 
 Defined results: a null html is an empty payload; a null page id makes a record without
 page id, which is the response of its payload only if no page id shares it; rows that
@@ -82,6 +86,33 @@ class BadRecord(ValueError):
     """An archive does not hold what its records declare."""
 
 
+class Headers(dict):
+    """Header fields by their usual spelling, whatever the case of the record's own."""
+
+    KNOWN = {
+        k.lower(): k for k in (
+            "WARC-Type", "WARC-Record-ID", "WARC-Date", "WARC-Target-URI", "Content-Type", "WARC-Payload-Digest", "WARC-Block-Digest",
+            "Content-Length", "X-Payload-Length", "X-URL", "X-Page-ID", "X-Refers-To-Page",
+        )
+    }
+
+    def __init__(self, lines: list[str]):
+        for line in lines:
+            name, colon, value = line.partition(":")
+            if not colon:
+                raise BadRecord(f"no header field: {line[:40]!r}")
+            self[self.KNOWN.get(name.strip().lower(), name.strip())] = value.strip()
+
+
+def payload_of(head: dict[str, str], block: bytes) -> bytes | None:
+    """The payload that a record holds: an HTTP message's body, another record's block; a revisit holds none."""
+    if head["WARC-Type"] == "revisit":
+        return None
+    if head.get("Content-Type", "").startswith("application/http"):
+        return block.partition(b"\r\n\r\n")[2]
+    return block
+
+
 def members(stream, block: int = BLOCK) -> Iterator[Iterator[bytes]]:
     """For each gzip member of a byte stream, its decompressed bytes in pieces of at most ``block``."""
     held = stream.read(block)
@@ -116,22 +147,25 @@ def read_record(pieces: Iterator[bytes]) -> tuple[dict[str, str], bytes]:
     lines = bytes(data[:end]).decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise BadRecord(f"no WARC version line: {lines[0][:40]!r}")
-    head = dict(x.split(": ", 1) for x in lines[1:])
+    head = Headers(lines[1:])
     del data[: end + 4]
+    if "WARC-Type" not in head or not head.get("Content-Length", "").isdecimal():
+        raise BadRecord("record without a type or a content length")
     size = int(head["Content-Length"])
+    name = head.get("WARC-Record-ID")
     for piece in pieces:
         data += piece
         if len(data) > size + 4:
             break
     if len(data) != size + 4 or data[size:] != b"\r\n\r\n":
-        raise BadRecord(f"content length {size} does not frame the record {head['WARC-Record-ID']}")
+        raise BadRecord(f"content length {size} does not frame the record {name}")
     block = bytes(data[:size])
-    if head["WARC-Block-Digest"] != f"sha1:{sha1_base32(block)}":
-        raise BadRecord(f"block digest differs in {head['WARC-Record-ID']}")
-    if head["WARC-Type"] == "response":
-        payload = block.split(b"\r\n\r\n", 1)[1]
-        if head["WARC-Payload-Digest"] != f"sha1:{sha1_base32(payload)}":
-            raise BadRecord(f"payload digest differs in {head['WARC-Record-ID']}")
+    payload = payload_of(head, block)
+    for field, held in (("WARC-Block-Digest", block), ("WARC-Payload-Digest", payload)):
+        if held is not None and head.get(field, "").startswith("sha1:") and head[field] != f"sha1:{sha1_base32(held)}":
+            raise BadRecord(f"{field} differs in {name}")
+    if payload is not None and head.get("X-Payload-Length", str(len(payload))) != str(len(payload)):
+        raise BadRecord(f"payload length differs in {name}")
     return head, block
 
 
@@ -223,12 +257,16 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                 with fs.open_input_stream(path, compression=None) as stream:
                     for pieces in members(stream):
                         head, block = read_record(pieces)
-                        url = head["WARC-Target-URI"]
+                        url = head.get("WARC-Target-URI")
                         if "X-URL" in head:
                             url = None if head["X-URL"] == "null" else unquote(head["X-URL"][1:])
-                        digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                        rows.append((path, head["WARC-Type"], number(head.get("X-Page-ID")), url, digest,
-                                     int(head["X-Payload-Length"]), number(head.get("X-Refers-To-Page")), block))
+                        payload = payload_of(head, block)
+                        if payload is None:
+                            digest, length = head.get("WARC-Payload-Digest"), number(head.get("X-Payload-Length"))
+                            digest = digest and digest.removeprefix("sha1:")
+                        else:
+                            digest, length = sha1_base32(payload), len(payload)
+                        rows.append((path, head["WARC-Type"], number(head.get("X-Page-ID")), url, digest, length, number(head.get("X-Refers-To-Page")), block))
                         held += len(block)
                         if held > 4 * BLOCK:
                             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
