@@ -68,7 +68,7 @@ def test_dense_cell_and_near_misses_equal_brute_force(spark):
     base = [(0.0, 0.0)] * 40 + [tuple(x) for x in rng.normal(0, 0.004, (300, 2))]
     base += [(0.3 + 0.01 * a, 0.02 * b) for a in range(12) for b in range(9)]
     base += [tuple(x) for x in rng.uniform(-0.5, 0.9, (150, 2))]
-    rows = [(f"{i:04d}", 12.9 + a, 77.5 + b, 8 if i % 4 else 9, "accident" if i % 5 else None) for i, (a, b) in enumerate(base)]
+    rows = [(f"{i:04d}", float(12.9 + a), float(77.5 + b), 8 if i % 4 else 9, "accident" if i % 5 else None) for i, (a, b) in enumerate(base)]
     df = spark.createDataFrame(rows, "id string, latitude double, longitude double, hour int, event_cause string").repartition(4)
     pts = K.cluster_inputs(df)
     z = K.scale(pts, K.scaler_stats(pts)).toPandas()
