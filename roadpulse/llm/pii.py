@@ -3,7 +3,7 @@
 The fixed patterns give seed entities.  Every identifier-like string (a run without
 spaces that holds digits, or digit-bearing groups with single spaces between them) and
 every seed becomes an instance, whatever letters it holds; the words around an occurrence
-are its lexical patterns.  Spark scores the graph of patterns and instances in rounds: a
+are its lexical patterns, found at any distance over white space.  Spark scores the graph of patterns and instances in rounds: a
 pattern is as good as the share of its other instances believed to be personal data, seeds
 or found in an earlier round; two words are judged from what one word of them tells on.
 An instance is as good as its best patterns together.  Instances that high-confidence
@@ -18,6 +18,8 @@ table without seeds induces no pattern; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, Window
@@ -32,6 +34,7 @@ BACK_OFF = 0.6  # what a one-word pattern's confidence counts for where its two-
 MIN_CONFIDENCE = 0.4  # share of a pattern's instances believed, from which on it may discover
 MIN_SCORE = 0.7  # of an instance that is discovered: one sure pattern, or two that agree
 MIN_DIGITS = 3  # of a candidate
+LONG_WORD = 64  # characters; longer neighbours, such as a text without spaces, all stand as one mark
 MIN_LENGTH = 6  # letters and digits of a candidate
 
 # Runs start where no character of their class stands before, or right after the last match
@@ -75,8 +78,7 @@ class Finder:
         self.candidates = regex.compile(CANDIDATE).finditer
         self.spaced = regex.compile(SPACED).finditer
         self.digit = regex.compile("[0-9]").search
-        self.before = regex.compile(r"(?:\S+\s+)?\S+\s*$").search
-        self.after = regex.compile(r"\s*(\S+)").match
+        self.words = regex.compile(r"\S+").finditer
 
     def base(self, text: str) -> list[tuple[int, int, int, str]]:
         """Spans (start, end, kind, value) by start, then kind."""
@@ -91,19 +93,26 @@ class Finder:
         ]
         return sorted(found, key=lambda s: (s[0], s[2]))
 
-    def patterns(self, text: str, start: int, end: int) -> list[tuple[str, str | None]]:
+    def patterns(self, text: str, start: int, end: int, starts: list[int], ends: list[int]) -> list[tuple[str, str | None]]:
         """Lexical patterns of an occurrence, each with its parent: two words before, and one word on either side.
 
-        Their parents, patterns too, have one word, before or after; ^ and $ stand for missing words.
+        Their parents, patterns too, have one word, before or after; ^ and $ stand for missing words.  Words
+        are what stands between white space of any width (``starts`` and ``ends`` are those of the text's words); what
+        is joined to the value on either side is a word too.
         """
-        before = self.before(text, max(0, start - 80), start)
-        after = self.after(text, end, min(len(text), end + 40))
-        words = [w.strip(".,;!?\"'").lower() for w in before.group().split()] if before else []
-        first, left = (["^", "^"] + words)[-2:]
-        right = after.group(1).strip(".,;!?\"'").lower() if after else "$"
+        at = bisect_left(starts, start)  # the first word that begins at the value or after it
+        near = [(starts[i], min(ends[i], start)) for i in range(max(0, at - 2), at)]
+        first, left = (["^", "^"] + [self.word(text, *w) for w in near])[-2:]
+        at = bisect_right(ends, end)  # the first word that ends after the value
+        right = self.word(text, max(starts[at], end), ends[at]) if at < len(ends) else "$"
         one, other = f"{left} _", f"_ {right}"
         return [(f"{first} {left} _", one), (f"{left} _ {right}", other), (one, None), (other, None)]
 
+    @staticmethod
+    def word(text: str, start: int, end: int) -> str:
+        """A word of a pattern; one of more than LONG_WORD characters is no word but stands as a mark."""
+        return text[start:end].strip(".,;!?\"'").lower() if end - start <= LONG_WORD else "\N{HORIZONTAL ELLIPSIS}"
+
     def candidates_of(self, text: str) -> list[tuple[int, int, str]]:
         """Identifier-like strings (start, end, value) by start: runs without spaces, and spaced groups with and without letters around."""
         out = set()
@@ -122,17 +131,20 @@ class Finder:
     def contexts(self, text: str, base: list) -> list[tuple]:
         """Occurrences (start, end, value, seed, patterns) of seeds and of candidates outside them."""
         out, upto = [], []
+        candidates = self.candidates_of(text)
+        words = [m.span() for m in self.words(text)] if base or candidates else []
+        words = [w[0] for w in words], [w[1] for w in words]
         for start, end, _, value in base:
-            out.append((start, end, value, True, self.patterns(text, start, end)))
+            out.append((start, end, value, True, self.patterns(text, start, end, *words)))
             upto.append((start, end))
         at = 0
         upto.sort()
-        for start, end, value in self.candidates_of(text):
+        for start, end, value in candidates:
             while at < len(upto) and upto[at][1] <= start:
                 at += 1
             if at < len(upto) and upto[at][0] < end:
                 continue
-            out.append((start, end, value, False, self.patterns(text, start, end)))
+            out.append((start, end, value, False, self.patterns(text, start, end, *words)))
         return out
 
 
