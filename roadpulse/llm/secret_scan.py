@@ -46,38 +46,58 @@ SAMPLE_DOCS = 2000  # documents whose words are the sample of ordinary identifie
 SAMPLE_SECRETS = 2000  # values found by the patterns, and uniform strings, in the sample of random ones
 
 
+def running(values: Column, zero: Column, step) -> Column:
+    """Array of the running states of a fold, one for each element.
+
+    Blocks of about the square root of the array's size are folded one after the other, so that no state
+    array is copied more than twice that many times.
+    """
+    per = F.ceil(F.sqrt(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(values) / per).cast("int") - 1), lambda b: F.slice(values, b * per + 1, per))
+
+    def along(first, block):
+        start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(block, start, lambda acc, x: F.transform(F.array(step(acc["at"], x)), lambda now: F.struct(
+            now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out")))[0])
+
+    def block_step(acc, block):
+        return F.transform(F.array(along(acc["at"], block)), lambda s: F.struct(
+            s["at"].alias("at"), F.concat(acc["out"], F.array(s["out"])).alias("out")))[0]
+
+    start = F.struct(zero.alias("at"), F.array().cast("array<array<int>>").alias("out"))
+    done = F.aggregate(blocks, start, block_step, lambda acc: F.flatten(acc["out"]))
+    return F.when(F.size(values) > 0, done).otherwise(F.array().cast("array<int>"))
+
+
 def found_spans(text: Column, pattern: str | Column, kind: int, min_value: int | None = None) -> Column:
     """Array of (start, end, kind, value) of a pattern's matches; value is its first group, or else the match."""
     whole = F.concat(F.lit(r"\G(?s:.*?)("), F.lit(pattern), F.lit(")"))
 
-    def step(acc, piece):
-        end = acc["at"] + F.length(piece)
+    def span(piece, end):
         match = F.call_function("regexp_extract", piece, whole, F.lit(1))
         value = F.call_function("regexp_extract", piece, whole, F.lit(2)) if min_value is not None else match
-        span = F.struct((end - F.length(match)).alias("start"), end.alias("end"), F.lit(kind).alias("kind"), value.alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        return F.struct((end - F.length(match)).alias("start"), end.alias("end"), F.lit(kind).alias("kind"), value.alias("value"))
 
-    none = F.array().cast(SPANS)
-    spans = F.aggregate(
-        F.regexp_extract_all(text, whole, F.lit(0)), F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"]
-    )
+    def placed(pieces):
+        ends = running(F.transform(pieces, F.length), F.lit(0), lambda at, n: at + n)
+        return F.zip_with(pieces, ends, span)
+
+    # Bound by a one-element array, so that the matches are looked for once.
+    spans = F.transform(F.array(F.regexp_extract_all(text, whole, F.lit(0))), placed)[0]
     if min_value is not None:
         spans = F.filter(spans, lambda s: F.length(s["value"]) >= min_value)
-    return F.coalesce(spans, none)
+    return F.coalesce(spans, F.array().cast(SPANS))
 
 
 def base_spans(text: Column) -> Column:
     """Spans of the fixed patterns by start, then kind."""
-    return F.array_sort(F.concat(
-        found_spans(text, ASSIGN, 0, MIN_VALUE), found_spans(text, ACCESS, 1), found_spans(text, HEX, 2)
-    ), _order)
+    return in_order(F.concat(found_spans(text, ASSIGN, 0, MIN_VALUE), found_spans(text, ACCESS, 1), found_spans(text, HEX, 2)))
 
 
-def _order(a: Column, b: Column) -> Column:
-    def key(s):
-        return s["start"].cast("long") * 8 + s["kind"]
-
-    return F.when(key(a) < key(b), -1).when(key(a) > key(b), 1).otherwise(F.sign(a["end"] - b["end"]).cast("int"))
+def in_order(spans: Column) -> Column:
+    """Spans by start, then kind, then end."""
+    keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
+    return F.transform(F.sort_array(keyed), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value")))
 
 
 def pair_numbers(run: Column) -> Column:
@@ -187,7 +207,7 @@ def widened(run: Column, found: Column, ratios: Column) -> Column:
 
     def wide(s, i):
         low = F.when(i > 0, F.get(found, i - 1)["end"]).otherwise(0)
-        word = F.length(F.regexp_extract(F.substr(run, low + 1, s["start"] - low), "[A-Za-z0-9]*$", 0))
+        word = F.length(F.regexp_extract(F.reverse(F.substr(run, low + 1, s["start"] - low)), "^[A-Za-z0-9]*", 0))
         start = s["start"] - word
         start = F.when((i == 0) & unclear(F.lit(0), start + 1), 0).otherwise(start)
         word = F.length(F.regexp_extract(F.substr(run, s["end"] + 1), "^[A-Za-z0-9]*", 0))
@@ -198,40 +218,75 @@ def widened(run: Column, found: Column, ratios: Column) -> Column:
     return F.transform(found, wide)
 
 
-def scored_runs(text: Column, ratios: Column, shortest: int, likely: str) -> Column:
-    """A text's distinct runs that have a stretch above MIN_RATIO."""
+def scored_runs(text: Column, base: Column, ratios: Column, shortest: int, likely: str) -> Column:
+    """A text's distinct runs that have a stretch above MIN_RATIO, less those that are an access or hex span wherever they stand."""
     runs = F.array_distinct(F.regexp_extract_all(text, F.lit(f"{CHARACTER}{{{shortest},}}"), F.lit(0)))
+    runs = F.array_except(runs, F.transform(F.filter(base, lambda b: b["kind"] > 0), lambda b: b["value"]))
     runs = F.filter(runs, lambda x: (F.length(x) > LONG_RUN) | x.rlike(likely))
     return F.filter(runs, lambda x: best_sum(x, ratios) > MIN_RATIO)
 
 
-def model_spans(text: Column, base: Column, runs: Column, ratios: Column, shortest: int) -> Column:
-    """Spans of the stretches that the models take for secrets, in the parts of ``runs`` outside the base spans."""
-    run = f"{CHARACTER}{{{shortest},}}"
+def outside(place: Column, spans: Column, reach: Column, shortest: int) -> Column:
+    """Parts (start, value) of a place of ``shortest`` characters or more before, between and after ``spans``, those that start in it
+    or later, in order; ``reach`` is the end of what earlier spans cover."""
+
+    def cut(reaches):
+        # The part before each span starts where all spans before it end; the last part ends with the place.
+        ends = F.concat(F.transform(spans, lambda s: F.least(s["start"], place["end"])), F.array(place["end"]))
+        gaps = F.zip_with(F.concat(F.array(F.greatest(reach, place["start"])), reaches), ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+        return F.filter(gaps, lambda g: g["end"] - g["start"] >= shortest)
+
+    reaches = running(F.transform(spans, lambda s: s["end"]), F.greatest(reach, place["start"]), lambda at, end: F.greatest(at, end))
+    gaps = F.transform(F.array(reaches), cut)[0]
+
+    def valued(chars):
+        return F.transform(gaps, lambda g: F.struct(
+            g["start"].alias("start"), F.array_join(F.slice(chars, g["start"] - place["start"] + 1, g["end"] - g["start"]), "").alias("value")))
+
+    return F.transform(F.array(F.split(place["value"], "")), valued)[0]
+
+
+def model_spans(text: Column, base: Column, runs: Column, ratios: Column, shortest: int, likely: str) -> Column:
+    """Spans of the stretches that the models take for secrets, in the parts outside the base spans of the runs as long as
+    the shortest of ``runs``.
+
+    Places and base spans are merged by start, so each place meets only the base spans that start before the next one.
+    """
     least = F.array_min(F.transform(runs, F.length)).cast("string")
+    # A stretch outside the base spans is a stretch of the whole run too, so a run in no ``runs`` would give none.
+    places = F.filter(
+        found_spans(text, F.concat(F.lit(f"{CHARACTER}{{"), least, F.lit(",}")), 3),
+        lambda r: (F.length(r["value"]) > LONG_RUN) | r["value"].rlike(likely),
+    )
 
-    def placed(r):
-        # What the base spans cover is blank; few runs come this far.
-        own = F.filter(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-        left = F.transform(
-            F.split(r["value"], ""),
-            lambda c, i: F.when(F.exists(own, lambda b: (b["start"] <= r["start"] + i) & (r["start"] + i < b["end"])), " ").otherwise(c),
-        )
-        left = F.when(F.size(own) == 0, r["value"]).otherwise(F.array_join(left, ""))
+    def event(s, is_base):
+        return F.struct(s["start"].alias("start"), F.lit(is_base).alias("base"), s["end"].alias("end"), s["value"].alias("value"))
+
+    def inside(part):
+        def span(s):
+            start = part["start"] + s["start"]
+            value = F.substr(part["value"], s["start"] + 1, s["end"] - s["start"])
+            return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), F.lit(3).alias("kind"), value.alias("value"))
+
+        return F.transform(widened(part["value"], stretches(part["value"], ratios), ratios), span)
+
+    def merged(events):
+        before = running(F.transform(events, lambda e: e["base"]), F.lit(0), lambda n, one: n + one)
+        reach = running(F.transform(events, lambda e: F.when(e["base"] == 1, e["end"]).otherwise(0)), F.lit(0), lambda at, end: F.greatest(at, end))
+        told = F.filter(F.arrays_zip(events.alias("event"), before.alias("before"), reach.alias("reach")), lambda e: e["event"]["base"] == 0)
 
-        def inside(part):
-            def span(s):
-                start = r["start"] + part["start"] + s["start"]
-                value = F.substr(part["value"], s["start"] + 1, s["end"] - s["start"])
-                return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), F.lit(3).alias("kind"), value.alias("value"))
+        def placed(own):
+            def parts(e, i):
+                upto = F.when(i + 1 < F.size(own), F.get(own, i + 1)["before"]).otherwise(F.size(base))
+                spans = F.slice(base, e["before"] + 1, upto - e["before"])
+                return F.flatten(F.transform(outside(e["event"], spans, e["reach"], shortest), inside))
 
-            return F.transform(widened(part["value"], stretches(part["value"], ratios), ratios), span)
+            return F.flatten(F.transform(own, parts))
 
-        return F.flatten(F.transform(found_spans(left, run, 3), inside))
+        return F.transform(F.array(told), placed)[0]
 
-    # A stretch outside the base spans is a stretch of the whole run too, so its sum is no larger.
-    places = F.filter(found_spans(text, F.concat(F.lit(f"{CHARACTER}{{"), least, F.lit(",}")), 3), lambda r: F.array_contains(runs, r["value"]))
-    return F.when(F.size(runs) > 0, F.flatten(F.transform(places, placed)))
+    events = F.sort_array(F.concat(F.transform(places, lambda s: event(s, 0)), F.transform(base, lambda s: event(s, 1))))
+    return F.when(F.size(runs) > 0, F.transform(F.array(events), merged)[0])
 
 
 def ordinary_identifiers(spark: SparkSession, vocabulary: str | None = None) -> DataFrame:
@@ -294,9 +349,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
     ratios = materialize(train(samples), "secret-model")
     shortest, likely = bounds(ratios)
     held = docs.select(F.col(id_col).alias("id"), text.alias("text"), base_spans(text).alias("base")).withColumn("ratios", ratios.scalar())
-    held = held.withColumn("runs", scored_runs(F.col("text"), F.col("ratios"), shortest, likely))
-    more = model_spans(F.col("text"), F.col("base"), F.col("runs"), F.col("ratios"), shortest)
-    spans = F.array_sort(F.concat("base", F.coalesce(more, F.array().cast(SPANS))), _order)
+    held = held.withColumn("runs", scored_runs(F.col("text"), F.col("base"), F.col("ratios"), shortest, likely))
+    more = model_spans(F.col("text"), F.col("base"), F.col("runs"), F.col("ratios"), shortest, likely)
+    spans = in_order(F.concat("base", F.coalesce(more, F.array().cast(SPANS))))
     return materialize(held.select("id", "base", spans.alias("spans")), "secret-spans")
 
 
