@@ -52,21 +52,29 @@ def running(values: Column, zero: Column, step) -> Column:
     Blocks of about the square root of the array's size are folded one after the other, so that no state
     array is copied more than twice that many times.
     """
-    per = F.ceil(F.sqrt(F.greatest(F.size(values), F.lit(1)))).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(values) / per).cast("int") - 1), lambda b: F.slice(values, b * per + 1, per))
+    none = F.array().cast("array<int>")
 
-    def along(first, block):
-        start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
-        return F.aggregate(block, start, lambda acc, x: F.transform(F.array(step(acc["at"], x)), lambda now: F.struct(
-            now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out")))[0])
+    def bound(x, step_of):  # a one-element array, so that the value is computed once
+        return F.transform(F.array(x), step_of)[0]
 
-    def block_step(acc, block):
-        return F.transform(F.array(along(acc["at"], block)), lambda s: F.struct(
-            s["at"].alias("at"), F.concat(acc["out"], F.array(s["out"])).alias("out")))[0]
+    def next_state(acc, x):
+        return bound(step(acc["at"], x), lambda now: F.struct(now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out")))
 
-    start = F.struct(zero.alias("at"), F.array().cast("array<array<int>>").alias("out"))
-    done = F.aggregate(blocks, start, block_step, lambda acc: F.flatten(acc["out"]))
-    return F.when(F.size(values) > 0, done).otherwise(F.array().cast("array<int>"))
+    def next_block(acc, block):
+        inner = F.aggregate(block, F.struct(acc["at"].alias("at"), none.alias("out")), next_state)
+        return bound(inner, lambda s: F.struct(s["at"].alias("at"), F.concat(acc["out"], F.array(s["out"])).alias("out")))
+
+    def folded(held):
+        size = F.size(held)
+
+        def in_blocks(per):
+            blocks = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / per).cast("int")), lambda b: F.slice(held, b * per + 1, per))
+            start = F.struct(zero.alias("at"), F.array().cast("array<array<int>>").alias("out"))
+            return F.aggregate(blocks, start, next_block, lambda acc: F.flatten(acc["out"]))
+
+        return F.when(size > 0, bound(F.ceil(F.sqrt(size)).cast("int"), in_blocks)).otherwise(none)
+
+    return bound(values, folded)
 
 
 def found_spans(text: Column, pattern: str | Column, kind: int, min_value: int | None = None) -> Column:
