@@ -156,9 +156,16 @@ def add_lookback_counts(df: DataFrame, specs: list[LagSpec], id_col: str = "id",
 
 
 def lookback_counts_with_history(scored: DataFrame, history: DataFrame, specs: list[LagSpec], id_col: str = "id", **kw) -> DataFrame:
-    """Counts for ``scored`` events that also see ``history`` events (history rows are not emitted)."""
-    cols = sorted({id_col, kw.get("ts_col", "start_datetime")} | {s.key for s in specs if s.key})
-    hist = history.select(*cols).join(scored.select(id_col), on=id_col, how="left_anti")
+    """Counts for ``scored`` events that also see ``history`` events (history rows are not emitted).
+
+    Only history within the longest window before the first scored event and up to the last one is read.
+    """
+    ts = kw.get("ts_col", "start_datetime")
+    cols = sorted({id_col, ts} | {s.key for s in specs if s.key})
+    longest = max(s.seconds for s in specs) + 1  # windows count whole seconds
+    reach = scored.agg((F.min(ts) - F.make_dt_interval(secs=F.lit(longest))).alias("low"), (F.max(ts) + F.make_dt_interval(secs=F.lit(1))).alias("high"))
+    inside = (F.col(ts) >= reach.select("low").scalar()) & (F.col(ts) <= reach.select("high").scalar())
+    hist = history.select(*cols).where(inside).join(scored.select(id_col), on=id_col, how="left_anti")
     both = scored.select(*cols).withColumn("_scored", F.lit(True)).unionByName(
         hist.withColumn("_scored", F.lit(False))
     )

@@ -36,6 +36,10 @@ REPORT_SCHEMAS = {
     "severity_bias": "event_cause string, actual_high_rate double, predicted_high_rate double, bias double, count bigint",
     "duration_bias": "event_cause string, actual_mean_hours double, predicted_mean_hours double, ratio double, count bigint",
     "correction_factors": "event_cause string, factor double",
+    "final_metrics": "severity struct<roc_auc: double, f1: double, precision: double, recall: double>,"
+    " duration struct<mae_hours: double, rmse_hours: double, r2: double, mae_log: double, coverage_80pct: double, coverage_50pct: double>,"
+    " closure struct<roc_auc: double, f1: double, precision: double, recall: double, threshold: double>,"
+    " training_samples bigint, test_samples bigint, total_features bigint",
 }
 
 
