@@ -4,7 +4,8 @@ Texts are split into words in Spark; consecutive documents form chunks, and a ch
 names its distinct words by number, so a document becomes a short sequence of numbers
 (its word positions).  The distinct words of all chunks are shuffled by word, each
 distinct word is encoded once by the task that owns it, and the ids travel back to the
-chunks, where they are joined to the documents by position.  Only the distinct words of
+chunks, where they are joined to the documents by position.  (With very many chunks this
+is done for bands of them, so that the words one task holds stay bounded.)  Only the distinct words of
 chunks and the packed numbers are ever shuffled, never one row per word position.
 
 The tokenizer file is a parameter; its text is sent to the executors with the job.
@@ -19,6 +20,7 @@ an empty result.
 from __future__ import annotations
 
 import json
+import math
 import os
 import unicodedata
 import zlib
@@ -36,6 +38,7 @@ from roadpulse.llm.common import fresh, materialize, prepare, table
 TOKENIZER = "word_bpe_49k.json"
 CHUNK_WORDS = 5_000_000  # word positions of a chunk; a longer document is a chunk of its own
 GROUP_WORDS = 500_000  # about so many of them are joined to their ids at a time
+BUCKET_BYTES = 32 << 20  # of packed words that one task loads at a time; more of them make more bands of chunks
 
 # Characters that the regex module and the tokenizer treat alike, one by one and in sequence.
 SAFE = (
@@ -242,8 +245,12 @@ def _join_back(id_type: pa.DataType):
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
-           chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """One row per row of ``docs``: its id, the token ids of its whole text, and these as little-endian 32-bit integers (ids_le)."""
+           chunk_words: int = CHUNK_WORDS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """One row per row of ``docs``: its id, the token ids of its whole text, and these as little-endian 32-bit integers (ids_le).
+
+    A bucket of the distinct-word table is loaded whole, so chunks are dealt into as many bands as keep the
+    largest bucket of a band near ``bucket_bytes``; a word is encoded once in each band that holds it.
+    """
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = prepare(docs.sparkSession)
@@ -258,9 +265,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
         ),
         "bpe-words",
     )
+    words = split.where("bucket is not null").select("chunk", "bucket", "words")
+    largest = words.groupBy("bucket").agg(F.sum(F.octet_length("words")).alias("n")).agg(F.max("n")).first()[0] or 0
+    bands = max(1, math.ceil(largest / bucket_bytes))
     encoded = (
-        split.where("bucket is not null").select("chunk", "bucket", "words")
-        .groupBy("bucket").applyInArrow(_encode_bucket(spec), "chunk long, bucket int, sizes binary, ids binary")
+        words.withColumn("band", F.pmod(F.xxhash64("chunk"), F.lit(bands)).cast("int"))
+        .groupBy("band", "bucket").applyInArrow(_encode_bucket(spec), "chunk long, bucket int, sizes binary, ids binary")
     )
     numbered = split.where("bucket is null").select("chunk", "keys", "sizes", "numbers")
     return (
