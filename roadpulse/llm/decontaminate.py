@@ -3,10 +3,12 @@
 Spark computes the index: words of the items, document frequencies, and BM25 impacts,
 each divided by the item's score against itself, so a score is the share of the item
 that a passage holds and one threshold serves all items.  Items are dealt into shards of
-a bounded number of postings, each small enough to broadcast; a larger benchmark makes
-more shards, never a larger one.  Within a shard items of alike length form a class with
-its own passage size, twice the longest item's words, stepped so that any occurrence
-falls whole into some passage.
+a bounded number of postings, each built by one task, written, and small enough to
+broadcast; a larger benchmark makes more shards, never a larger one, and documents meet
+a few shards a pass, so neither the driver nor a worker holds the whole index.  Within a
+shard items of alike length form a class with its own passage size, stepped by the
+longest item's words, so that any occurrence falls whole into some passage, also one
+that inserted words made longer by a quarter.
 
 A passage is pruned when the sum of its words' largest impacts stays below the
 threshold in every one of a few ranges of items.  The others run block-max WAND over the postings and return every item at or
@@ -15,7 +17,10 @@ word five-grams of the question found in the passage, and words of the answer (t
 item's last sentence), 0.8 or more of each.
 
 Defined results: null and empty texts match nothing, items without words are never
-found, repeated items and rows are each answered, empty tables give empty results.
+found, repeated items and rows are each answered (an item id that repeats with other
+texts too), an item's best passage is the one highest in score, then in question and
+answer overlap, other columns of the documents pass through, empty tables give empty
+results.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ import math
 import pickle
 import re
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,6 +46,7 @@ SHINGLE = 5
 RANGES = 16  # of items, for the bound on a passage
 BLOCK = 64  # postings that share a maximum
 SHARD_POSTINGS = 1_000_000  # of a broadcast index, some 50 MB
+SHARDS_PER_PASS = 4  # indexes that a worker holds at once
 SENTENCE = re.compile(r"[.!?]+[\"')\]]*\s+(?=\S)")
 WORDS = re.compile(r"\w+").findall
 
@@ -150,7 +157,8 @@ class Shard:
             by_range = np.zeros((len(self.words) + 1, RANGES), np.float32)
             for i, p in lists.items():
                 np.maximum.at(by_range[i], [range_of[x] for x in p.items], np.array(p.impacts, np.float32))
-            self.classes.append((2 * longest, longest, tops, lists, by_range))
+            # Any stretch of words that an edited copy within OVERLAP may take falls whole into some passage.
+            self.classes.append((longest + math.ceil(longest / OVERLAP), longest, tops, lists, by_range))
 
     def hits(self, text: str | None, threshold: float, overlap: float) -> list[tuple]:
         """Verified (item_id, score, question overlap, answer overlap) of one document, best passage of each item."""
@@ -205,23 +213,38 @@ def bm25_postings(items: DataFrame) -> DataFrame:
     )
 
 
-def build_shards(items: DataFrame, item_col: str = "item_id", text_col: str = "text", shard_postings: int = SHARD_POSTINGS) -> list:
-    """Broadcast indexes of all items, each of about ``shard_postings`` postings at most."""
-    spark = prepare(items.sparkSession)
+def write_shards(items: DataFrame, item_col: str = "item_id", text_col: str = "text", shard_postings: int = SHARD_POSTINGS) -> DataFrame:
+    """Rows (shard, data): pickled indexes of all items, each of about ``shard_postings`` postings, built by the task that owns the shard."""
+    prepare(items.sparkSession)
     numbered = materialize(
         items.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("item_no")), "bm25-items"
     )
     postings = materialize(bm25_postings(numbered), "bm25-postings")
     shards = max(1, math.ceil(postings.count() / shard_postings))
-    own = F.pmod(F.xxhash64("item_no"), F.lit(shards))
-    out = []
-    for k in range(shards):
-        rows = postings.where(own == k).toPandas()
-        if len(rows):
-            texts = numbered.join(postings.where(own == k).select("item_no").distinct(), "item_no", "left_semi").orderBy("item_no").toPandas()
-            # As bytes that carry their classes: executors need no installed copy of this package.
-            out.append(spark.sparkContext.broadcast(cloudpickle.dumps(Shard(rows, texts))))
-    return out
+    own = F.pmod(F.xxhash64("item_no"), F.lit(shards)).cast("int").alias("shard")
+
+    def build(rows: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({"shard": [], "data": []})
+        # As bytes that carry their classes: executors need no installed copy of this package.
+        data = cloudpickle.dumps(Shard(rows, texts.sort_values("item_no")))
+        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "data": [data]})
+
+    built = postings.select(own, "*").groupBy("shard").cogroup(numbered.select(own, "*").groupBy("shard"))
+    return materialize(built.applyInPandas(build, "shard int, data binary"), "bm25-shards")
+
+
+def shard_passes(shards: DataFrame, per_pass: int = SHARDS_PER_PASS):
+    """Lists of at most ``per_pass`` broadcast indexes; only one pass is in the driver and the workers at a time."""
+    numbers = sorted(r["shard"] for r in shards.select("shard").collect())
+    for at in range(0, len(numbers), per_pass):
+        rows = (shards.where(F.col("shard") == k).select("data").first() for k in numbers[at : at + per_pass])
+        yield [shards.sparkSession.sparkContext.broadcast(bytes(r["data"])) for r in rows], at + per_pass >= len(numbers)
+
+
+def build_shards(items: DataFrame, item_col: str = "item_id", text_col: str = "text", shard_postings: int = SHARD_POSTINGS) -> list:
+    """Broadcast indexes of all items at once, for benchmarks of few shards."""
+    return [s for own, _ in shard_passes(write_shards(items, item_col, text_col, shard_postings)) for s in own]
 
 
 def hits_column(text: Column, shards: list, item_type: str, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> Column:
@@ -243,20 +266,39 @@ def hits_column(text: Column, shards: list, item_type: str, threshold: float = T
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                 threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+                 threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_postings: int = SHARD_POSTINGS,
+                 per_pass: int = SHARDS_PER_PASS) -> DataFrame:
     """Rows (id, item_id, score, question, answer): each test item found in each row of ``docs``."""
-    shards = build_shards(items, item_col)
     item_type = items.schema[item_col].dataType.simpleString()
-    found = docs.select(F.col(id_col).alias("id"), hits_column(F.col(text_col), shards, item_type, threshold, overlap).alias("hits"))
-    return found.select("id", F.explode("hits").alias("h")).select("id", "h.*")
-
-
-def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    out = []
+    for shards, last in shard_passes(write_shards(items, item_col, shard_postings=shard_postings), per_pass):
+        found = docs.select(F.col(id_col).alias("id"), hits_column(F.col(text_col), shards, item_type, threshold, overlap).alias("hits"))
+        found = found.select("id", F.explode("hits").alias("h")).select("id", "h.*")
+        out.append(found if last else _finish(found, shards))
+    if not out:  # no item has a word
+        none = hits_column(F.col(text_col), [], item_type)
+        return docs.select(F.col(id_col).alias("id"), F.explode(none).alias("h")).select("id", "h.*")
+    return reduce(DataFrame.unionByName, out)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      shard_postings: int = SHARD_POSTINGS, per_pass: int = SHARDS_PER_PASS) -> DataFrame:
     """The rows of ``docs`` that hold no test item, columns unchanged."""
-    shards = build_shards(items, item_col)
-    name = fresh(docs, "hits")
-    hits = hits_column(F.col(text_col), shards, items.schema[item_col].dataType.simpleString())
-    return docs.withColumn(name, hits).where(F.size(name) == 0).select(docs.columns)
+    item_type = items.schema[item_col].dataType.simpleString()
+    for shards, last in shard_passes(write_shards(items, item_col, shard_postings=shard_postings), per_pass):
+        name = fresh(docs, "hits")
+        hits = hits_column(F.col(text_col), shards, item_type)
+        kept = docs.withColumn(name, hits).where(F.size(name) == 0).select([F.col(f"`{c}`") for c in docs.columns])
+        docs = kept if last else _finish(kept, shards)
+    return docs
+
+
+def _finish(found: DataFrame, shards: list) -> DataFrame:
+    """The written rows of a pass, whose indexes are no longer needed."""
+    out = materialize(found, "bm25-pass")
+    for s in shards:
+        s.destroy()
+    return out
 
 
 def op4_decontaminate_bm25(spark, sf_dir: str) -> DataFrame:
