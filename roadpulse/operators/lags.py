@@ -13,8 +13,11 @@ A look-back count "events of the same key with ``t - W <= t' < t``" equals
 
 A running sum over ``(family, key, bucket)`` ordered by time then yields
 ``C(x)`` for data and probe rows alike.  Partitions hold one key's events of
-one bucket (``B`` seconds, default one hour) whatever the window length, so a
-key holding a third of all rows is split into as many tasks as it has hours.
+one bucket whatever the window length, so a key holding a third of all rows is
+split into many tasks.  ``B`` is an hour at most and follows the event rate:
+it shrinks until no key has more than ``bucket_rows`` events in a bucket, down
+to one second.  The narrow input (id, keys, time) is written once and read for
+all of this.
 All families (corridor, zone, station, city-wide) share one shuffle.
 
 Tie rules, in whole epoch seconds:
@@ -32,8 +35,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions.timefns import epoch_micros, epoch_seconds
+from roadpulse.session import materialize
 
 NULL_KEY = "\u0000null"
+BUCKET_ROWS = 1_000_000  # events of one key that a task ranks at once
+WIDTHS = (86400, 3600, 600, 60, 10, 1)  # seconds; each divides the one before
 
 
 @dataclass(frozen=True)
@@ -48,6 +54,23 @@ class LagSpec:
         return int(round(self.hours * 3600))
 
 
+def bucket_width(rows: DataFrame, keys: list[str], sec: str, widest: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """The widest bucket, in seconds, of which none holds more than ``bucket_rows`` rows of one value of any of ``keys``.
+
+    ``rows`` is read once for each width that is tried, with partial aggregation; the driver gets one number.
+    """
+    tries = [int(widest), *[w for w in WIDTHS if w < widest]]
+    entries = [F.struct(F.lit(i).alias("fam"), F.col(k).alias("key")) for i, k in enumerate(keys)] or [
+        F.struct(F.lit(-1).alias("fam"), F.lit("").alias("key"))
+    ]
+    for width in tries[:-1]:
+        held = rows.select(F.floor(F.col(sec) / width).alias("bkt"), F.explode(F.array(*entries)).alias("e"))
+        most = held.groupBy("e.fam", "e.key", "bkt").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        if most <= bucket_rows:
+            return width
+    return tries[-1]
+
+
 def lookback_counts(
     df: DataFrame,
     specs: list[LagSpec],
@@ -55,20 +78,23 @@ def lookback_counts(
     ts_col: str = "start_datetime",
     bucket_seconds: int = 3600,
     scored_col: str | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Return ``(id, <spec.name>...)`` with one bigint count per spec.
 
+    ``bucket_seconds`` is the widest time bucket; hot hours get narrower ones by ``bucket_rows``.
     ``scored_col`` (optional boolean column) limits output rows to the scored
     events while every row still counts as history (L7).
     """
     families = sorted({s.key or "" for s in specs})
     fam_index = {f: i for i, f in enumerate(families)}
-    B = F.lit(int(bucket_seconds))
-
     sel = [F.col(id_col).alias("_id"), epoch_seconds(F.col(ts_col)).alias("_sec"), epoch_micros(F.col(ts_col)).alias("_us")]
     sel += [F.coalesce(F.col(f).cast("string"), F.lit(NULL_KEY)).alias(f"_k{fam_index[f]}") for f in families if f]
     sel.append((F.col(scored_col) if scored_col else F.lit(True)).alias("_scored"))
-    base = df.where(F.col(ts_col).isNotNull()).select(*sel)
+    base = materialize(df.where(F.col(ts_col).isNotNull()).select(*sel), "lag-events")
+    # The city-wide family holds every event of a second, so its rate bounds that of every key.
+    keys = [] if "" in families else [f"_k{fam_index[f]}" for f in families]
+    B = F.lit(bucket_width(base, keys, "_sec", bucket_seconds, bucket_rows))
 
     def key_of(fam: str) -> Column:
         return F.col(f"_k{fam_index[fam]}") if fam else F.lit("")

@@ -27,7 +27,7 @@ from roadpulse.operators.features import (
     split_condition,
     temporal_features,
 )
-from roadpulse.operators.lags import LagSpec, add_lookback_counts, lookback_counts_with_history
+from roadpulse.operators.lags import BUCKET_ROWS, LagSpec, add_lookback_counts, bucket_width, lookback_counts_with_history
 from roadpulse.session import materialize
 
 STATE_KEYS = ["event_cause", "corridor", "junction", "police_station", "zone", "hex_id"]
@@ -159,21 +159,24 @@ def build_features(clean: DataFrame, cfg: EngineConfig = DEFAULT, split_date: st
 
 def point_in_time_means(
     df: DataFrame, key: str | None, values: list[str], id_col: str = "id", ts_col: str = "start_datetime",
-    bucket: str = "day",
+    bucket_seconds: int = 86400, bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``(id, pit_<value>...)``: mean of each value over the key's strictly earlier events.
 
-    Hot keys are split by time: per (key, day) sums and counts are accumulated
-    over days on a small table and enter each (key, day) partition as one carry
-    row, so no task holds more than one key-day of events.
+    Hot keys are split by time: per (key, bucket) sums and counts are accumulated
+    over buckets on a small table and enter each (key, bucket) partition as one carry
+    row.  Buckets last a day (``bucket_seconds``) at most and shrink until none holds
+    more than ``bucket_rows`` events of a key, down to one second.
     """
     kcol = F.coalesce(F.col(key).cast("string"), F.lit("\u0000null")) if key else F.lit("")
     us = epoch_micros(F.col(ts_col))
-    rows = df.where(F.col(ts_col).isNotNull()).select(
-        F.col(id_col).alias("rid"), kcol.alias("key"), us.alias("us"),
-        F.date_trunc(bucket, F.col(ts_col)).alias("bkt"),
+    narrow = df.where(F.col(ts_col).isNotNull()).select(
+        F.col(id_col).alias("rid"), kcol.alias("key"), us.alias("us"), F.floor(us / 1_000_000).alias("sec"),
         *[F.col(v).cast("double").alias(f"v{i}") for i, v in enumerate(values)],
     )
+    narrow = materialize(narrow, "pit-events")
+    width = bucket_width(narrow, ["key"], "sec", bucket_seconds, bucket_rows)
+    rows = narrow.withColumn("bkt", F.floor(F.col("sec") / width)).drop("sec")
     sums = rows.groupBy("key", "bkt").agg(
         *[F.sum(f"v{i}").alias(f"s{i}") for i in range(len(values))],
         *[F.count(f"v{i}").alias(f"c{i}") for i in range(len(values))],
