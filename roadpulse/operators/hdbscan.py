@@ -182,7 +182,8 @@ def _nearest(width: int, k: int):
             out = []
             for i, j, ax, bx, bw in zip(*(batch.column(c).to_pylist() for c in range(5))):
                 d, w = _distances(_matrix(ax, width), _matrix(bx, width)), np.frombuffer(bw, np.int64)
-                at = np.argsort(d, axis=1, kind="stable")[:, :k]
+                near = np.argpartition(d, k - 1, axis=1)[:, :k] if k < d.shape[1] else np.broadcast_to(np.arange(d.shape[1]), d.shape)
+                at = np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable"), 1)
                 d, w = np.take_along_axis(d, at, 1), w[at]
                 if i == j:  # a point is no neighbour of its own, its copies are
                     w = w - (at == np.arange(len(at))[:, None])
@@ -221,11 +222,12 @@ def core_distances(tiles: DataFrame, width: int, min_samples: int) -> DataFrame:
     total = int(tiles.select("w").mapInArrow(_weigh, "w long").agg(F.sum("w")).first()[0])
     k = min(min_samples, total - 1)
     x = tiles.select("tile", "x", "w")
-    listed = lambda pairs: (
+    # A pair of tiles is a small row and much work, so pairs are dealt evenly, not packed by their bytes.
+    listed = lambda pairs: spread(
         pairs.select("i", "j").join(x.select(F.col("tile").alias("i"), F.col("x").alias("ax")), "i")
         .join(x.select(F.col("tile").alias("j"), F.col("x").alias("bx"), F.col("w").alias("bw")), "j")
-        .select("i", "j", "ax", "bx", "bw").mapInArrow(_nearest(width, k + 1), _LISTS)
-    )
+        .select("i", "j", "ax", "bx", "bw")
+    ).mapInArrow(_nearest(width, k + 1), _LISTS)
     merge = lambda rows: rows.groupBy("tile").applyInArrow(_closest(k), _LISTS + ", core binary, most double")
     own = tiles.select(F.col("tile").alias("i"), F.col("tile").alias("j"))
     state = materialize(merge(listed(spread(own))), "hdbscan-core")
@@ -313,7 +315,8 @@ def spanning_tree(tiles: DataFrame, cores: DataFrame, width: int) -> DataFrame:
             pairs = near_tiles(box.join(where, "tile"), box, least, radius, width, extent)
             side = lambda p, t: state.select(F.col("tile").alias(t), *[F.col(c).alias(f"{p}_{c}") for c in ("x", "core", "ord", "comps", "c0", "c1")])
             met = pairs.join(side("a", "i"), "i").join(side("b", "j"), "j").where("not (a_c0 = a_c1 and b_c0 = b_c1 and a_c0 = b_c0)")
-            edges = met.select("i", "j", *[f"{p}_{c}" for p in "ab" for c in ("x", "core", "ord", "comps")], F.lit(giant).alias("skip")).mapInArrow(
+            sides = [f"{p}_{c}" for p in "ab" for c in ("x", "core", "ord", "comps")]
+            edges = spread(met.select("i", "j", *sides, F.lit(giant).alias("skip"))).mapInArrow(
                 _least_edges(width), "comp long, weight double, first long, last long, lo long, hi long"
             )
             edges = edges if best is None else edges.unionByName(best)
