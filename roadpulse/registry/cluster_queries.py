@@ -32,11 +32,11 @@ _TP = repr(2 * math.pi)
     ),
 )
 def k1(spark, sf_dir):
-    return K.scaler_stats(K.cluster_inputs(load_scored(spark, sf_dir)))
+    return K.scaler_stats(K.cluster_inputs(load_scored(spark, sf_dir, dealt=True)))
 
 
 def _clusters(spark, sf_dir):
-    s = load_scored(spark, sf_dir)
+    s = load_scored(spark, sf_dir, dealt=True)
     return s, K.dbscan(s)
 
 
@@ -50,7 +50,7 @@ def k2(spark, sf_dir):
 @register("k2_hdbscan_clusters")
 def k2h(spark, sf_dir):
     """Sizes of the hierarchical clusters (noise as -1)."""
-    lab = K.hdbscan_clusters(load_scored(spark, sf_dir))
+    lab = K.hdbscan_clusters(load_scored(spark, sf_dir, dealt=True))
     return lab.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
 
 
@@ -75,7 +75,7 @@ def k5(spark, sf_dir):
 @register("k6_nearest_cluster")
 def k6(spark, sf_dir):
     """Clusters fitted on the training slice; test events assigned to the nearest centre."""
-    s = load_scored(spark, sf_dir)
+    s = load_scored(spark, sf_dir, dealt=True)
     train, test = s.where(split_condition(TEST_SPLIT_DATE)), s.where(~split_condition(TEST_SPLIT_DATE))
     stats = K.cluster_stats(train, K.dbscan(train))
     scaler = K.scaler_stats(K.cluster_inputs(train))
