@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from roadpulse.operators import lags
+from roadpulse.operators import lags, state
 from roadpulse.operators.lags import LagSpec, add_lookback_counts, naive_lookback_counts
+from roadpulse.operators.state import STATE_KEYS, FeatureModel
 from roadpulse.registry.common import load_clean
 from roadpulse.session import TASK_ROWS, regroup, spread
 
@@ -34,3 +35,36 @@ def test_counts_in_many_tasks_equal_the_plain_window(spark, monkeypatch):
     for s in specs:
         want = {r["id"]: r[s.name] for r in naive_lookback_counts(df, s).collect()}
         assert {r["id"]: r[s.name] for r in got.collect()} == want
+
+
+def _held_state(spark):
+    """Rows of one frequent, one missing and 300 rare junctions, and a state fitted on them."""
+    df = spark.range(900).select(
+        F.col("id").cast("string").alias("id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("start_datetime"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise(F.concat(F.lit("J"), F.col("id"))).alias("junction"),
+        *[F.concat(F.lit("v"), F.col("id") % 4).alias(k) for k in STATE_KEYS if k != "junction"],
+        (F.col("id") % 10).cast("double").alias("resolution_hours"), (F.col("id") % 2).cast("int").alias("road_closure_binary"),
+        (F.col("id") % 3).cast("int").alias("priority_binary"),
+    )
+    st = {}
+    for k in STATE_KEYS:
+        st[f"key_{k}"] = df.where(F.col(k).isNotNull()).groupBy(k).agg(F.count("*").alias("n"), F.avg("resolution_hours").alias("mean_resolution"), F.avg("road_closure_binary").alias("closure_rate"), F.avg("priority_binary").alias("priority_rate"))
+    st["global"] = df.agg(F.avg("resolution_hours").alias("mean_resolution"), F.avg("priority_binary").alias("priority_rate"), F.avg("road_closure_binary").alias("closure_rate"), F.count("*").alias("n"))
+    return df, FeatureModel(state=st)
+
+
+def test_state_of_many_keys_is_joined_in_tasks_of_bounded_rows(spark, monkeypatch):
+    df, model = _held_state(spark)
+    want = model._join_state(df)
+    names = sorted(want.columns)
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    few = model._join_state(df, 900)
+    assert "SortMergeJoin" not in plan(few)  # whatever the engine takes the size of the state for
+    monkeypatch.setattr(state, "STATE_ROWS", 100)
+    monkeypatch.setattr(state, "TASK_ROWS", 30)
+    monkeypatch.setattr(state.task_count, "__defaults__", (30,))
+    many = model._join_state(df, 900)
+    assert plan(many).count("SortMergeJoin") == 1
+    assert max(r["count"] for r in many.groupBy(F.spark_partition_id().alias("p")).count().collect()) < 120  # 300 rows have the same key, 300 none
+    rows = lambda d: sorted(map(tuple, d.select(*names).collect()), key=str)
+    assert rows(few) == rows(want) == rows(many)
