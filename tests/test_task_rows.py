@@ -7,7 +7,7 @@ from roadpulse.operators import lags, state
 from roadpulse.operators.lags import LagSpec, add_lookback_counts, naive_lookback_counts
 from roadpulse.operators.state import STATE_KEYS, FeatureModel
 from roadpulse.registry.common import load_clean
-from roadpulse.session import TASK_ROWS, regroup, spread
+from roadpulse.session import TASK_ROWS, materialize, regroup, spread
 
 
 def test_tasks_follow_the_rows(spark):
@@ -68,3 +68,22 @@ def test_state_of_many_keys_is_joined_in_tasks_of_bounded_rows(spark, monkeypatc
     assert max(r["count"] for r in many.groupBy(F.spark_partition_id().alias("p")).count().collect()) < 120  # 300 rows have the same key, 300 none
     rows = lambda d: sorted(map(tuple, d.select(*names).collect()), key=str)
     assert rows(few) == rows(want) == rows(many)
+
+
+def test_keys_without_frequent_or_missing_ones_are_dealt_once(spark, monkeypatch):
+    df, model = _held_state(spark)
+    df = df.withColumn("junction", F.coalesce(F.concat(F.lit("J"), F.col("id").cast("int") % 300), F.lit("unknown")))  # not null by its type, 3 rows each
+    model.state["key_junction"] = df.groupBy("junction").agg(F.count("*").alias("n"), F.avg("resolution_hours").alias("mean_resolution"), F.avg("road_closure_binary").alias("closure_rate"), F.avg("priority_binary").alias("priority_rate"))
+    # As after a fit: tables that are read back, so the join alone decides how they are shuffled.
+    model.state = {k: materialize(t) for k, t in model.state.items()}
+    want = model._join_state(df)
+    monkeypatch.setattr(state, "STATE_ROWS", 100)
+    monkeypatch.setattr(state, "TASK_ROWS", 30)
+    many = model._join_state(df, 900)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1
+    assert many.rdd.getNumPartitions() == 30
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning" in x]) == 2  # the rows and the state, once each
+    names = sorted(want.columns)
+    rows = lambda d: sorted(map(tuple, d.select(*names).collect()), key=str)
+    assert rows(many) == rows(want)
