@@ -59,19 +59,24 @@ def components(edges: DataFrame, a: str, b: str, keys: tuple[str, ...] = ()) ->
     lineage stays short and no component is gathered anywhere.  Each task first replaces
     the edges it holds by stars of its own components, a bounded number at a time, which
     leaves fewer edges and rounds.  Nodes without an edge to another node are left out;
-    nulls are no nodes.
+    nulls are no nodes.  At most ``LOCAL_EDGES`` edges that are left are the work of one task.
     """
     ks = list(keys)
     cur = edges.select(*ks, F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi <> lo")
     schema = cur.schema
     cur = materialize(cur.mapInArrow(_stars, schema).distinct(), "components")
+    members = lambda: cur.select(*ks, F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
+        cur.select(*ks, F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
+    )
+    if cur.count() <= LOCAL_EDGES:
+        cur = materialize(cur.coalesce(1).mapInArrow(_stars, schema), "components")
+        return members()
     while True:
         # Done when the edges are stars: every node has one smaller neighbour or only larger ones.
         ends = F.explode(F.array(F.struct(F.col("hi").alias("node"), F.lit(1).alias("up")), F.struct(F.col("lo").alias("node"), F.lit(0).alias("up"))))
         tangled = cur.select(*ks, ends.alias("e")).groupBy(*ks, "e.node").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("low"))
         if not tangled.where("ups > 1 or ups = 1 and low = 0").limit(1).count():
-            members = cur.select(*ks, F.col("hi").alias("node"), F.col("lo").alias("root"))
-            return members.unionByName(cur.select(*ks, F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
+            return members()
         low = cur.groupBy(*ks, F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
         # Large star: a node's larger neighbours point at its smallest neighbour.
         large = (

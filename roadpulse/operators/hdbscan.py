@@ -8,8 +8,9 @@ No table of point pairs is written, and nothing that grows with the data reaches
 2. Core distances (to the ``min_samples``-th other event): a tile looks at itself, then at
    tiles in rings of growing radius, until no box can hold a nearer neighbour.
 3. The minimum spanning tree of mutual reachability grows by Boruvka rounds: every component but
-   the largest finds its least edge, again in rings of tiles; tiles inside one component are
+   the largest finds its least edge, again in tiles within a growing radius; tiles inside one component are
    skipped, and a pair of tiles yields one edge per component.
+   Of a pair of tiles only the points that can still gain from the other tile's box are compared.
 4. The tree's edges, in order of (weight, smaller end, larger end), are cut into buckets.
    Halving the range of buckets, the lighter half's components become vertices of the heavier
    half, so each bucket ends as an independent piece for one task.  A piece records which
@@ -45,6 +46,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NOISE = "-1"
 TILE_ROWS = 512
 PIECE_EDGES = 200_000
+BROADCAST_POINTS = 500_000  # points whose tiles are broadcast (64 bytes each on five axes)
+TREE_CLUSTERS = 200_000  # clusters whose tree one task selects from
 _POS = 10  # bits of a point's number that give its place in its tile
 _SYM = 44  # bits of a cluster's number below its bucket
 
@@ -171,25 +174,48 @@ def _matrix(raw: bytes, width: int) -> np.ndarray:
     return np.frombuffer(raw).reshape(-1, width)
 
 
+def _to_box(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Distances of points to the box of others; never above a distance that ``_distances`` finds, as it rounds alike."""
+    low, high, out = of.min(axis=0), of.max(axis=0), np.zeros(len(x))
+    for c in range(x.shape[1]):
+        out += np.maximum(np.maximum(low[c] - x[:, c], x[:, c] - high[c]), 0.0) ** 2
+    return np.sqrt(out)
+
+
 # --- core distances
 
 
 def _nearest(width: int, k: int):
-    """Of a pair of tiles: the distances and weights of the k nearest points of the second, for each point of the first."""
+    """Of a pair of tiles: the distances and weights of the k nearest points of the second, for each point of the first.
+
+    Points whose known core distance the second tile's box cannot lower get an empty list."""
 
     def run(batches):
         for batch in batches:
             out = []
-            for i, j, ax, bx, bw in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                d, w = _distances(_matrix(ax, width), _matrix(bx, width)), np.frombuffer(bw, np.int64)
+            for i, j, ax, core, bx, bw in zip(*(batch.column(c).to_pylist() for c in range(6))):
+                a, b, weights = _matrix(ax, width), _matrix(bx, width), np.frombuffer(bw, np.int64)
+                n, rows = len(a), np.arange(len(a))
+                if core is not None:
+                    core = np.frombuffer(core)
+                    rows = np.flatnonzero(_to_box(a, b) < core)
+                    if not len(rows):
+                        continue
+                    held = _to_box(b, a[rows]) < core[rows].max()
+                    b, weights = b[held], weights[held]
+                    if not len(b):
+                        continue
+                d = _distances(a[rows], b)
                 near = np.argpartition(d, k - 1, axis=1)[:, :k] if k < d.shape[1] else np.broadcast_to(np.arange(d.shape[1]), d.shape)
                 at = np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable"), 1)
-                d, w = np.take_along_axis(d, at, 1), w[at]
+                d, w = np.take_along_axis(d, at, 1), weights[at]
                 if i == j:  # a point is no neighbour of its own, its copies are
                     w = w - (at == np.arange(len(at))[:, None])
-                out.append((i, len(d), d.shape[1], d.tobytes(), w.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*out)] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())],
-                                             names=["tile", "n", "k", "d", "w"])
+                dist, weight = np.full((n, d.shape[1]), np.inf), np.zeros((n, d.shape[1]), np.int64)
+                dist[rows], weight[rows] = d, w
+                out.append((i, n, d.shape[1], dist.tobytes(), weight.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(kinds)], names=["tile", "n", "k", "d", "w"])
 
     return run
 
@@ -222,15 +248,15 @@ def core_distances(tiles: DataFrame, width: int, min_samples: int) -> DataFrame:
     total = int(tiles.select("w").mapInArrow(_weigh, "w long").agg(F.sum("w")).first()[0])
     k = min(min_samples, total - 1)
     x = tiles.select("tile", "x", "w")
-    # A pair of tiles is a small row and much work, so pairs are dealt evenly, not packed by their bytes.
-    listed = lambda pairs: spread(
-        pairs.select("i", "j").join(x.select(F.col("tile").alias("i"), F.col("x").alias("ax")), "i")
-        .join(x.select(F.col("tile").alias("j"), F.col("x").alias("bx"), F.col("w").alias("bw")), "j")
-        .select("i", "j", "ax", "bx", "bw")
-    ).mapInArrow(_nearest(width, k + 1), _LISTS)
+    small = tiles.agg(F.sum("n")).first()[0] <= BROADCAST_POINTS
+    cores = lambda active: active.select(F.col("tile").alias("i"), "core")
+    sides = [(x.select(F.col("tile").alias("i"), F.col("x").alias("ax")), "i"), (x.select(F.col("tile").alias("j"), F.col("x").alias("bx"), F.col("w").alias("bw")), "j")]
+    listed = lambda pairs, active: meet(
+        pairs.select("i", "j"), [(cores(active), "i"), *sides], small
+    ).select("i", "j", "ax", "core", "bx", "bw").mapInArrow(_nearest(width, k + 1), _LISTS)
     merge = lambda rows: rows.groupBy("tile").applyInArrow(_closest(k), _LISTS + ", core binary, most double")
     own = tiles.select(F.col("tile").alias("i"), F.col("tile").alias("j"))
-    state = materialize(merge(listed(spread(own))), "hdbscan-core")
+    state = materialize(merge(listed(own, tiles.select("tile", F.lit(None).cast("binary").alias("core")))), "hdbscan-core")
     extent = _extent(tiles, width)
     finite = state.where("most < double('inf')").select(F.percentile_approx("most", 0.5)).first()[0]
     least, radius = 0.0, finite or 1.0
@@ -242,12 +268,22 @@ def core_distances(tiles: DataFrame, width: int, min_samples: int) -> DataFrame:
         pairs = near_tiles(box.join(active.select("tile"), "tile"), box, least, radius, width, extent).where("i <> j")
         pairs = pairs.join(active.withColumnRenamed("tile", "i"), "i").where("gap < most")
         # Lists are merged in two steps, so a tile with very many neighbours is no single group of all their lists.
-        more = listed(pairs).withColumn("salt", F.pmod(F.xxhash64("d"), F.lit(64)))
+        more = listed(pairs, state.select("tile", "core")).withColumn("salt", F.pmod(F.xxhash64("d"), F.lit(64)))
         more = more.groupBy("tile", "salt").applyInArrow(_closest(k), _LISTS + ", core binary, most double").select(*state.columns[:5])
         state = materialize(merge(state.select(*state.columns[:5]).unionByName(more)), "hdbscan-core")
         least, radius = radius, radius * 4
 
 
+def meet(pairs: DataFrame, sides: list[tuple[DataFrame, str]], small: bool) -> DataFrame:
+    """Pairs of tiles with what ``sides`` say of either tile, dealt evenly: a pair is a small row and much work.
+
+    Sides of few points go to the pairs, so the wide rows are not shuffled."""
+    out = spread(pairs) if small else pairs
+    for side, key in sides:
+        out = out.join(F.broadcast(side) if small else side, key)
+    return out if small else spread(out)
+
+
 def _weigh(batches):
     for batch in batches:
         yield pa.RecordBatch.from_arrays([pa.array([int(np.frombuffer(x, np.int64).sum()) for x in batch.column(0).to_pylist()], pa.int64())], names=["w"])
@@ -259,24 +295,37 @@ def _weigh(batches):
 _EDGE = ["weight", "first", "last", "lo", "hi"]  # first and last: the ends' hashes, which order equal weights
 
 
-def _least_edges(width: int):
-    """Of a pair of tiles: each component's least edge from the first tile to another component in the second."""
+def _least_edges(width: int, radius: float):
+    """Of a pair of tiles: the least edge below ``radius`` of each component that looks for one, from the first tile to another component in the second.
+
+    Points too far from the other tile's box, or from those that look, are left out."""
 
     def run(batches):
         for batch in batches:
             out = [[np.zeros(0, t)] for t in (np.int64, np.float64, np.int64, np.int64, np.int64, np.int64)]
-            for i, j, ax, ac, ao, aq, bx, bc, bo, bq, skip in zip(*(c.to_pylist() for c in batch.columns)):
-                aq, bq = np.array(aq), np.array(bq)
-                w = np.maximum(_distances(_matrix(ax, width), _matrix(bx, width)), np.frombuffer(ac)[:, None])
-                w = np.maximum(w, np.frombuffer(bc)[None, :])
+            for row in zip(*batch.columns):
+                i, j = row[0].as_py(), row[1].as_py()
+                places, aq, bq = (v.values.to_numpy() for v in row[2:5])
+                ax, ac, bx, bc = (np.frombuffer(v.as_buffer()) for v in row[5:9])
+                ax, bx = ax.reshape(-1, width), bx.reshape(-1, width)
+                p = places[(ac[places] < radius) & (_to_box(ax[places], bx) < radius)]
+                if not len(p):
+                    continue
+                ax, ac, aq = ax[p], ac[p], aq[p]
+                q = np.flatnonzero((bc < radius) & (_to_box(bx, ax) < radius))
+                bq = bq[q]
+                if not len(q) or (aq[0] == bq[0] and (aq == aq[0]).all() and (bq == bq[0]).all()):
+                    continue
+                w = np.maximum(np.maximum(_distances(ax, bx[q]), ac[:, None]), bc[q][None, :])
                 w[aq[:, None] == bq[None, :]] = np.inf
-                q = w.argmin(axis=1)
-                w = w[np.arange(len(q)), q]
-                o1, o2 = np.frombuffer(ao, np.int64), np.frombuffer(bo, np.int64)[q]
-                p, q = (i << _POS) + np.arange(len(q)), (j << _POS) + q
+                at = w.argmin(axis=1)
+                w = w[np.arange(len(at)), at]
+                o1, o2 = (np.frombuffer(v.as_buffer(), np.int64) for v in row[9:11])
+                o1, o2 = o1[p], o2[q][at]
+                p, q = (i << _POS) + p, (j << _POS) + q[at]
                 first, last = np.minimum(o1, o2), np.maximum(o1, o2)
                 order = np.lexsort((last, first, w, aq))
-                order = order[np.isfinite(w[order]) & (aq[order] != skip)]
+                order = order[w[order] < radius]
                 best = order[np.r_[True, aq[order][1:] != aq[order][:-1]]] if len(order) else order
                 for held, x in zip(out, (aq, w, first, last, np.minimum(p, q), np.maximum(p, q))):
                     held.append(x[best])
@@ -293,7 +342,7 @@ def spanning_tree(tiles: DataFrame, cores: DataFrame, width: int) -> DataFrame:
     )
     least_core = cores.mapInArrow(_middle, "core double").agg(F.percentile_approx("core", 0.9)).first()[0] or 0.0
     start, tree = (least_core if 0 < least_core < math.inf else 1.0), None
-    box, extent = tiles.select("tile", "lo", "hi"), _extent(tiles, width)
+    box, extent, small = tiles.select("tile", "lo", "hi"), _extent(tiles, width), comp.count() <= BROADCAST_POINTS
     while True:
         sizes = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
         n_comps, giant = sizes.agg(F.count(F.lit(1)), F.max_by("comp", F.struct("n", "comp"))).first()
@@ -306,26 +355,29 @@ def spanning_tree(tiles: DataFrame, cores: DataFrame, width: int) -> DataFrame:
             .select("tile", F.col("m.comp").alias("comps"), F.array_min("m.comp").alias("c0"), F.array_max("m.comp").alias("c1"))
         )
         state = materialize(tiles.select("tile", "x", "ord").join(cores, "tile").join(state, "tile"), "hdbscan-state")
-        best, settled, least, radius = None, None, 0.0, start
+        best, radius = None, start
         while True:
             open_ = comp.where(F.col("comp") != giant)
-            if settled is not None:
-                open_ = open_.join(settled, "comp", "left_anti")
-            where = open_.select(F.shiftright("pid", _POS).alias("tile")).distinct()
-            pairs = near_tiles(box.join(where, "tile"), box, least, radius, width, extent)
+            if best is not None:
+                open_ = open_.join(best.select("comp"), "comp", "left_anti")
+            # Points that look for an edge, by tile.  A wider radius looks at near tiles anew, for the few that are left.
+            asks = materialize(
+                open_.groupBy(F.shiftright("pid", _POS).alias("i"))
+                .agg(F.sort_array(F.collect_list(F.col("pid").bitwiseAND((1 << _POS) - 1))).alias("places")), "hdbscan-asks",
+            )
+            pairs = near_tiles(box.join(asks.select(F.col("i").alias("tile")), "tile"), box, 0.0, radius, width, extent)
             side = lambda p, t: state.select(F.col("tile").alias(t), *[F.col(c).alias(f"{p}_{c}") for c in ("x", "core", "ord", "comps", "c0", "c1")])
-            met = pairs.join(side("a", "i"), "i").join(side("b", "j"), "j").where("not (a_c0 = a_c1 and b_c0 = b_c1 and a_c0 = b_c0)")
-            sides = [f"{p}_{c}" for p in "ab" for c in ("x", "core", "ord", "comps")]
-            edges = spread(met.select("i", "j", *sides, F.lit(giant).alias("skip"))).mapInArrow(
-                _least_edges(width), "comp long, weight double, first long, last long, lo long, hi long"
+            met = meet(pairs.select("i", "j"), [(asks, "i"), (side("a", "i"), "i"), (side("b", "j"), "j")], small)
+            sides = ["places", "a_comps", "b_comps", "a_x", "a_core", "b_x", "b_core", "a_ord", "b_ord"]
+            edges = met.where("not (a_c0 = a_c1 and b_c0 = b_c1 and a_c0 = b_c0)").select("i", "j", *sides).mapInArrow(
+                _least_edges(width, radius), "comp long, weight double, first long, last long, lo long, hi long"
             )
+            # A component is settled when it has an edge shorter than all that was not looked at.
             edges = edges if best is None else edges.unionByName(best)
             best = materialize(edges.groupBy("comp").agg(F.min(F.struct(*_EDGE)).alias("e")).select("comp", "e.*"), "hdbscan-best")
-            # A component is settled when its best edge is shorter than all that was not looked at.
-            settled = best.where(F.col("weight") < radius).select("comp")
-            if settled.count() == n_comps - 1:
+            if best.count() == n_comps - 1:
                 break
-            least, radius = radius, radius * 4
+            radius *= 4
         found = materialize(best.select(*_EDGE).distinct(), "hdbscan-edges")
         start = 2 * found.select(F.percentile_approx("weight", 0.95)).first()[0] or start
         tree = found if tree is None else tree.unionByName(found)
@@ -492,14 +544,39 @@ def stabilities(joins: DataFrame, merges: DataFrame, sizes: DataFrame) -> DataFr
     )
 
 
-def select_clusters(clusters: DataFrame) -> DataFrame:
+def _selected(batches):
+    """The selection over a whole tree: values from the leaves up, labels from the roots down."""
+    syms, parents, own = [], [], []
+    for batch in batches:
+        for held, c in zip((syms, parents, own), ("sym", "parent", "s")):
+            held += batch.column(c).to_pylist()
+    parent, s = dict(zip(syms, parents)), dict(zip(syms, own))
+    kids: dict = {}
+    for x, up in parent.items():
+        kids.setdefault(up, []).append(x)
+    order = list(kids.get(None, ()))
+    for x in order:  # grows: every cluster comes after its parent
+        order += kids.get(x, ())
+    value, label = {}, {None: None}
+    for x in reversed(order):
+        below = kids.get(x)
+        value[x] = max(s[x], sum(value[y] for y in below)) if below else s[x]
+    for x in order:
+        above = label[parent[x]]
+        label[x] = above if above is not None else x if parent[x] is not None and value[x] <= s[x] else None
+    yield pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array([label[x] for x in order], pa.int64())], names=["sym", "label"])
+
+
+def select_clusters(clusters: DataFrame, most: int = TREE_CLUSTERS) -> DataFrame:
     """Rows (sym, label): for each cluster the selected one that holds it (null: none), by greatest total stability.
 
-    ``clusters``: sym, parent, stability.  The value of a cluster is max(its stability, its
+    ``clusters``: sym, parent, stability; up to ``most`` of them one task selects.  The value of a cluster is max(its stability, its
     children's values).  Leaves are known; a cluster with one unknown child is max(p, q + child),
     and such functions compose, so chains shorten by half a round.
     """
     base = materialize(clusters.select("sym", "parent", F.coalesce("stability", F.lit(0.0)).alias("s")), "hdbscan-clusters")
+    if base.count() <= most:
+        return base.coalesce(1).mapInArrow(_selected, "sym long, label long")
     kids = base.where("parent is not null").groupBy(F.col("parent").alias("sym")).agg(F.count(F.lit(1)).alias("pending"))
     rest = base.join(kids, "sym", "left").select("sym", "s", F.coalesce("pending", F.lit(0)).alias("pending"), F.lit(0.0).alias("acc"))
     new = materialize(rest.where("pending = 0").select("sym", F.col("s").alias("f")), "hdbscan-known")
